@@ -1,0 +1,20 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when its row count is within ``max_rows``.
+
+    Beyond the bound the frame is returned unhinted, so the join falls back
+    to a shuffle join (and AQE may still convert it at runtime when the
+    measured shuffle output is small).  Counting a dimension is a cheap
+    metadata-backed job; it is never done on a fact table.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
