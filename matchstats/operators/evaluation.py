@@ -124,11 +124,11 @@ def roc_curve(scored: DataFrame) -> DataFrame:
     lg = _long(scored)
     col = lg.groupBy("cls", "p").agg(F.sum("y").cast("long").alias("pos"),
                                      F.sum(1 - F.col("y")).cast("long").alias("neg"))
-    tot = col.groupBy("cls").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    tot = col.groupBy("cls").agg(F.sum("pos").alias("__all_pos"), F.sum("neg").alias("__all_neg"))
     ps = prefix_sums(col, ["cls"], [F.col("p").desc()], ["pos", "neg"])
-    return ps.join(tot, "cls").select(
+    return ps.join(F.broadcast(tot), "cls").select(
         "cls", F.col("p").alias("threshold"),
-        (F.col("cum_neg") / F.col("N")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"))
+        (F.col("cum_neg") / F.col("__all_neg")).alias("fpr"), (F.col("cum_pos") / F.col("__all_pos")).alias("tpr"))
 
 
 def accuracy_by_tier(scored: DataFrame) -> DataFrame:

@@ -13,4 +13,12 @@ def all_queries():
         from matchstats.plans import catalog_eval  # noqa: F401
     except ImportError:
         pass
+    try:
+        from matchstats.plans import catalog_ingest  # noqa: F401
+    except ImportError:
+        pass
+    try:
+        from matchstats.plans import catalog_learn  # noqa: F401
+    except ImportError:
+        pass
     return dict(catalog.REGISTRY)
