@@ -66,6 +66,7 @@ N_CV_SPLITS = 5
 RANDOM_STATE = 42
 RANDOMIZED_SEARCH_ITER = 50
 LR_MAX_ITER = 1000
+LR_TOL = 1e-4
 RF_N_ESTIMATORS = 300
 RF_MAX_DEPTH = 12
 GB_N_ESTIMATORS = 200
