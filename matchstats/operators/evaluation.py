@@ -113,9 +113,9 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     col = lg.groupBy("cls", "p").agg(F.sum("y").cast("long").alias("pos"),
                                      F.sum(1 - F.col("y")).cast("long").alias("neg"))
     ps = prefix_sums(col, ["cls"], [F.col("p").desc()], ["pos", "neg"])
+    den = F.sum("pos") * F.sum("neg")
     return ps.groupBy("cls").agg(
-        (F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0))
-         / (F.sum("pos") * F.sum("neg"))).alias("auc"),
+        F.when(den > 0, F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)) / den).alias("auc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
@@ -128,7 +128,8 @@ def roc_curve(scored: DataFrame) -> DataFrame:
     ps = prefix_sums(col, ["cls"], [F.col("p").desc()], ["pos", "neg"])
     return ps.join(F.broadcast(tot), "cls").select(
         "cls", F.col("p").alias("threshold"),
-        (F.col("cum_neg") / F.col("__all_neg")).alias("fpr"), (F.col("cum_pos") / F.col("__all_pos")).alias("tpr"))
+        F.when(F.col("__all_neg") > 0, F.col("cum_neg") / F.col("__all_neg")).alias("fpr"),
+        F.when(F.col("__all_pos") > 0, F.col("cum_pos") / F.col("__all_pos")).alias("tpr"))
 
 
 def accuracy_by_tier(scored: DataFrame) -> DataFrame:

@@ -27,14 +27,17 @@ def feature_group(name: str) -> str:
 
 
 def feature_corr(fm: DataFrame, feats: list[str]) -> DataFrame:
-    """Every pair's Pearson correlation in one aggregate, long format."""
-    pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i + 1:]]
-    aliases = [f"c{i}" for i in range(len(pairs))]
-    row = fm.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(al)
-                   for (a, b), al in zip(pairs, aliases)])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(f"{a}|{b}").alias("pair"), F.col(al).alias("corr"))
-        for (a, b), al in zip(pairs, aliases)])).alias("r")).select("r.*")
+    """Pearson correlation of every feature pair, long format.
+
+    ``pyspark.ml.stat.Correlation`` computes the whole matrix in one
+    distributed pass (a tree-aggregated Gramian); the result is a
+    len(feats) x len(feats) matrix, a bounded object, turned into rows."""
+    from pyspark.ml.stat import Correlation
+    va = VectorAssembler(inputCols=feats, outputCol="__v", handleInvalid="keep")
+    vec = va.transform(fm.select(*[F.col(f).cast("double").alias(f) for f in feats])).select("__v")
+    mat = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    rows = [(f"{a}|{b}", float(mat[i][j])) for i, a in enumerate(feats) for j, b in enumerate(feats) if j > i]
+    return fm.sparkSession.createDataFrame(rows, "pair string, corr double")
 
 
 def feature_label_corr(fm: DataFrame, feats: list[str], top: int = 15) -> DataFrame:
@@ -76,7 +79,7 @@ def feature_summary(fm: DataFrame, feats: list[str]) -> DataFrame:
     """Mean and sample std per feature."""
     groups = F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(feature_group(f)))])
     return (_long(fm, feats).groupBy("feature").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
-            .withColumn("feature_group", F.element_at(groups, F.col("feature"))))
+            .withColumn("feature_group", groups.getItem(F.col("feature"))))
 
 
 def standardise(fm: DataFrame, feats: list[str], id_cols: list[str]) -> DataFrame:

@@ -39,8 +39,9 @@ def global_row_number(df: DataFrame, order_cols: list[str], out_col: str = "row_
 def temporal_split(df: DataFrame, order_cols: list[str], train_frac: float = 0.9) -> DataFrame:
     """Rows before position int(frac * n) are train, the rest test."""
     numbered = global_row_number(df, order_cols)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    cut = F.floor(n * F.lit(train_frac))
+    # count from the checkpointed frame, never from the (re-computable) input
+    n = numbered.agg(F.count(F.lit(1))).first()[0]
+    cut = F.floor(F.lit(n) * F.lit(train_frac))
     return numbered.withColumn("split", F.when(F.col("row_idx") < cut, F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -50,9 +51,9 @@ def cv_folds(df: DataFrame, order_cols: list[str], n_splits: int = C.N_CV_SPLITS
     ``test_fold`` = fold where the row is a test row, -1 for rows that are
     only ever trained on; fold i trains on rows with test_fold < i."""
     numbered = global_row_number(df, order_cols)
-    n = df.agg(F.count(F.lit(1))).scalar()
-    size = F.floor(n / F.lit(n_splits + 1))
-    start = n - size * n_splits
+    n = numbered.agg(F.count(F.lit(1))).first()[0]
+    size = F.lit(n // (n_splits + 1))
+    start = F.lit(n) - size * n_splits
     fold = F.when(F.col("row_idx") < start, F.lit(-1)).otherwise(F.floor((F.col("row_idx") - start) / size))
     return numbered.withColumn("test_fold", fold.cast("int"))
 

@@ -34,13 +34,19 @@ ORDER = ["date", "match_id"]
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
+def _round6(c):
+    # Same IEEE operations as the SQL side (floor(x * 1e6 + 0.5) / 1e6), so
+    # equal inputs round equally in both engines (no decimal tie rules).
+    return F.when(F.isnan(c) | (F.abs(c) > 1e12), c).otherwise(F.floor(c * 1e6 + 0.5) / 1e6)
+
+
 def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    return df.select(*[_round6(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
 
 
 def _oracle(body: str, doubles: list[str], features: bool) -> str:
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+    rep = ", ".join(f"floor({c} * 1e6 + 0.5) / 1e6 AS {c}" for c in doubles)
     head = f"SELECT * REPLACE ({rep})" if doubles else "SELECT *"
     return with_ctes(f"{head} FROM (\n{body}\n) AS __q", features)
 

@@ -194,3 +194,30 @@ def q_std_features(spark, sf):
 def q_class_weights(spark, sf):
     """M6: balanced class weight n / (k n_c) times the match weight."""
     return FS.class_weights(_features(spark, sf), ["match_id"])
+
+
+_SAMPLE_KEY_SQL = "(match_id * 2654435761 + 42) % 4294967291"
+
+
+@query("leak_audit_sample",
+       f"""WITH s AS (SELECT match_id, date, home_team, away_team FROM complete_t
+                      ORDER BY {_SAMPLE_KEY_SQL}, match_id LIMIT 3)
+          SELECT s.match_id, s.date, s.home_team, s.away_team,
+            (SELECT max(h.date) FROM tl h WHERE h.team = s.home_team AND h.date < s.date) AS home_last_date,
+            (SELECT max(h.date) FROM tl h WHERE h.team = s.away_team AND h.date < s.date) AS away_last_date
+          FROM s""")
+def q_leak_audit_sample(spark, sf):
+    """W14 + T12: three complete matches drawn with a deterministic seeded
+    hash (seed 42) and the latest history date each side may use."""
+    m = _inp(spark, sf).master
+    key = (F.col("match_id") * F.lit(2654435761) + F.lit(42)) % F.lit(4294967291)
+    s = complete_matches(m).select("match_id", "date", "home_team", "away_team") \
+        .orderBy(key, "match_id").limit(3)
+    tl = team_log(m, KEYS).select(F.col("team").alias("__t"), F.col("date").alias("__d"))
+    s = F.broadcast(s)  # exactly three rows
+    out = s
+    for side in ("home", "away"):
+        j = s.join(tl, (F.col("__t") == F.col(f"{side}_team")) & (F.col("__d") < F.col("date")), "left") \
+            .groupBy("match_id").agg(F.max("__d").alias(f"{side}_last_date"))
+        out = out.join(j, "match_id", "left")
+    return out

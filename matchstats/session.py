@@ -32,7 +32,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.localShuffleReader.enabled", "true")
         .config("spark.driver.memory", os.environ.get("MATCHSTATS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.ansi.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
