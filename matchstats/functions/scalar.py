@@ -50,7 +50,7 @@ def tournament_tier(tournament="tournament") -> Column:
 def match_weight(tier="tournament_tier") -> Column:
     """Tier -> weight via a literal map."""
     m = F.create_map(*[x for k, v in C.TIER_WEIGHTS.items() for x in (F.lit(k), F.lit(v))])
-    return m.getItem(_col(tier))
+    return m[_col(tier)]
 
 
 def is_knockout(tournament="tournament") -> Column:
@@ -128,7 +128,7 @@ def encode_result(result="result") -> Column:
 def decode_result(label="label") -> Column:
     """F8: 0/1/2 -> label string, 'unknown' otherwise."""
     m = F.create_map(*[x for i, name in enumerate(C.RESULT_CLASSES) for x in (F.lit(i), F.lit(name))])
-    return F.coalesce(m.getItem(_col(label).cast("int")), F.lit("unknown"))
+    return F.coalesce(m[_col(label).cast("int")], F.lit("unknown"))
 
 
 # --- F9 ------------------------------------------------------------------------

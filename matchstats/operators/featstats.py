@@ -79,7 +79,7 @@ def feature_summary(fm: DataFrame, feats: list[str]) -> DataFrame:
     """Mean and sample std per feature."""
     groups = F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(feature_group(f)))])
     return (_long(fm, feats).groupBy("feature").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
-            .withColumn("feature_group", groups.getItem(F.col("feature"))))
+            .withColumn("feature_group", groups[F.col("feature")]))
 
 
 def standardise(fm: DataFrame, feats: list[str], id_cols: list[str]) -> DataFrame:

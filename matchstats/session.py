@@ -30,6 +30,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.localShuffleReader.enabled", "true")
+        # AQE converts a shuffle join to a broadcast only from the *measured*
+        # size of the finished shuffle stage (the daily state tables).
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
         .config("spark.driver.memory", os.environ.get("MATCHSTATS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
