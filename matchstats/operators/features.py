@@ -31,6 +31,7 @@ from matchstats import config as C
 from matchstats.functions import scalar as S
 from matchstats.operators.master import complete_matches
 from matchstats.operators.teamlog import team_log
+from matchstats.session import cut_lineage
 
 SIDE_FEATURES = ["win_pct", "draw_pct", "avg_goals_scored", "avg_goals_conceded", "goal_diff_avg",
                  "clean_sheet_pct", "shootout_win_pct", "team_experience"]
@@ -196,9 +197,13 @@ def h2h_features(queries: DataFrame, h2h_states: DataFrame) -> DataFrame:
         F.when(has, F.col("h2h_goals") / n).otherwise(F.lit(C.H2H_DEFAULT_GOALS)).alias("h2h_avg_goals"))
 
 
+MASTER_FEATURE_COLS = ["date", "home_team", "away_team", "home_goals", "away_goals", "result", "is_incomplete",
+                       "tournament", "tournament_tier", "neutral", "total_goals", "match_weight"]
+
+
 def build_features(master: DataFrame, shootouts: DataFrame | None = None, queries: DataFrame | None = None,
                    keys: list[str] | None = None, windows: list[int] | None = None,
-                   keep_cols: list[str] | None = None) -> DataFrame:
+                   keep_cols: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """The 45-column feature matrix for ``queries`` (default: complete
     matches of ``master``), looking back over the whole ``master``.
 
@@ -207,6 +212,14 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
     """
     keys = keys or ["match_id"]
     windows = windows or C.FORM_WINDOWS
+    if materialize:
+        # Every branch below (two-sided log, form states, pair states,
+        # queries) reads master: compute it once, narrow, and cut lineage
+        # with a reliable checkpoint in the shared checkpoint directory.
+        cols = [c for c in dict.fromkeys(keys + MASTER_FEATURE_COLS) if c in master.columns]
+        master = cut_lineage(master.select(*cols))
+        if shootouts is not None:
+            shootouts = cut_lineage(shootouts.select("date", "home_team", "away_team", "winner"))
     if queries is None:
         queries = complete_matches(master)
     keep = [c for c in (keep_cols or ["result", "match_weight"]) if c in queries.columns]

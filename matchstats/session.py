@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -64,4 +65,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Survives executor loss, unlike a local checkpoint.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A reliable checkpoint of an uncached plan computes it twice (once for
+    # the job, once to write the files); persisting first makes the write
+    # read the cached blocks.  The cache is dropped once the files exist.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
