@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats.functions import scalar as S
+from matchstats.functions.broadcast import checked_broadcast
 from matchstats.operators.master import MASTER_COLUMNS
 from matchstats.sources.schemas import NEW_MATCH_SCHEMA
 from matchstats.session import cut_lineage, ensure_checkpoint_dir
@@ -54,14 +55,20 @@ def feed_to_master_rows(accepted: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("match_weight", S.match_weight("tournament_tier")).select(*extra, *MASTER_COLUMNS)
 
 
-def new_master_rows(master: DataFrame, feed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def new_master_rows(master: DataFrame, feed: DataFrame, keys: list[str],
+                    max_broadcast_keys: int = 5_000_000) -> tuple[DataFrame, DataFrame]:
     """Validated feed rows not yet in ``master`` (as master rows) and the
     rejected feed rows.  Re-delivered rows (key already in master, or
     repeated in the batch) are dropped, so replaying a batch is a no-op."""
     v = validate_feed(feed)
     rejected = v.filter(~F.col("accepted"))
-    fresh = (v.filter(F.col("accepted")).join(master.select(*keys), keys, "left_anti")
-             .dropDuplicates(keys))
+    accepted = v.filter(F.col("accepted"))
+    # Keys of the batch are small (bounded by the trigger size) and checked
+    # before broadcasting: master is then only scanned (map-side semi join),
+    # never shuffled, to find the keys that already exist.
+    batch_keys = checked_broadcast(accepted.select(*keys).distinct(), max_broadcast_keys)
+    existing = master.select(*keys).join(batch_keys, keys, "left_semi")
+    fresh = accepted.join(existing, keys, "left_anti").dropDuplicates(keys)
     return feed_to_master_rows(fresh, keys), rejected
 
 
