@@ -96,8 +96,8 @@ def result_by_venue(master: DataFrame) -> DataFrame:
     from a small grouped aggregate joined back (no window over all rows)."""
     done = master.filter(F.col("result").isNotNull())
     per = done.groupBy("neutral", "result").agg(F.count(F.lit(1)).alias("n"))
-    tot = per.groupBy("neutral").agg(F.sum("n").alias("venue_n"))
-    return per.join(tot, "neutral").withColumn("pct", F.col("n") / F.col("venue_n") * 100.0).drop("venue_n")
+    tot = per.groupBy("neutral").agg(F.sum("n").alias("venue_n"))  # <= 3 rows (boolean domain)
+    return per.join(F.broadcast(tot), per["neutral"].eqNullSafe(tot["neutral"])).drop(tot["neutral"]).withColumn("pct", F.col("n") / F.col("venue_n") * 100.0).drop("venue_n")
 
 
 def home_advantage_gap(master: DataFrame) -> DataFrame:
@@ -378,8 +378,11 @@ def heuristic_predict(fixtures: DataFrame, records: DataFrame) -> DataFrame:
     wh, wa = win rates (a team without a record counts played 1, wins 0);
     wh *= 1.15 unless neutral; t = wh + wa + 0.25; ph = wh/t, pa = wa/t,
     pd = max(0, 1 - ph - pa); renormalise.  Records are one row per team
-    and are joined by team (AQE broadcasts them when small).
+    and are broadcast by AQE when their measured size allows.
     """
+    # One row per team: AQE broadcasts it from its measured size (no extra
+    # pass to count it); past the threshold, skew-join splitting handles a
+    # team that holds a large share of the fixtures.
     r = records.select("team", (F.col("wins") / F.greatest("played", F.lit(1))).alias("rate"))
     j = (fixtures.join(r.withColumnRenamed("team", "home_team").withColumnRenamed("rate", "__wh"), "home_team", "left")
          .join(r.withColumnRenamed("team", "away_team").withColumnRenamed("rate", "__wa"), "away_team", "left"))

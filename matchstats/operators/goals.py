@@ -59,7 +59,11 @@ def impute_minute(goals: DataFrame, matches: DataFrame | None = None, keys: list
         g = g.join(matches.select(*keys, group_col), keys, "left")
     if group_col in g.columns:
         med = g.groupBy(group_col).agg(F.median("minute").alias("__grp_median"))
-        g = g.join(med, group_col, "left").withColumn(
+        # One row per group.  AQE broadcasts it from the measured size of the
+        # finished aggregate (no extra counting pass over the goals); beyond
+        # the threshold the join stays a shuffle join with skew splitting.
+        g = g.join(med, g[group_col].eqNullSafe(med[group_col]), "left") \
+            .drop(med[group_col]).withColumn(
             "minute", F.coalesce(F.col("minute").cast("double"), F.col("__grp_median"))).drop("__grp_median")
     glob = g.agg(F.median("minute")).scalar()
     return g.withColumn("minute", F.coalesce(F.col("minute").cast("double"), glob))
