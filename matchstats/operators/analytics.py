@@ -127,6 +127,12 @@ def avg_goals_by(master: DataFrame, by: str) -> DataFrame:
     return comp.groupBy(key).agg(F.avg("total_goals").alias("avg_goals"), F.count(F.lit(1)).alias("n"))
 
 
+def avg_goals_overall(master: DataFrame) -> DataFrame:
+    """A11 overall: mean total goals per complete match with known goals."""
+    comp = master.filter(F.col("result").isNotNull() & F.col("total_goals").isNotNull())
+    return comp.agg(F.avg("total_goals").alias("avg_goals"), F.count(F.lit(1)).alias("n"))
+
+
 def score_matrix(master: DataFrame, max_score: int = C.SCORE_MATRIX_MAX) -> DataFrame:
     """Dense (max+1) x (max+1) matrix of capped scorelines with zeros.
 

@@ -325,6 +325,14 @@ def q_avg_goals_by_tier(spark, sf):
     return A.avg_goals_by(_inp(spark, sf).master, "tournament_tier")
 
 
+@query("avg_goals_overall",
+       "SELECT avg(total_goals) AS avg_goals, count(*) AS n FROM master_t "
+       "WHERE result IS NOT NULL AND total_goals IS NOT NULL", doubles=["avg_goals"])
+def q_avg_goals_overall(spark, sf):
+    """A11 overall."""
+    return A.avg_goals_overall(_inp(spark, sf).master)
+
+
 @query("score_matrix",
        f"""WITH c AS (SELECT least(home_goals, {C.SCORE_MATRIX_MAX}) AS hg, least(away_goals, {C.SCORE_MATRIX_MAX}) AS ag,
                       count(*) AS n FROM master_t WHERE result IS NOT NULL AND total_goals IS NOT NULL GROUP BY 1, 2)
