@@ -16,5 +16,22 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     measured shuffle output is small).  Counting a dimension is a cheap
     metadata-backed job; it is never done on a fact table.
     """
-    n = df.limit(max_rows + 1).count()
+    key = _size_key(df)
+    n = _SIZE_CACHE.get(key) if key is not None else None
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+        if key is not None:
+            _SIZE_CACHE[key] = n
     return F.broadcast(df) if n <= max_rows else df
+
+
+# Row counts of dimension plans already checked in this process, keyed by the
+# plan's semantic hash and its input files (a rewritten file changes the key).
+_SIZE_CACHE: dict = {}
+
+
+def _size_key(df: DataFrame):
+    try:
+        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(sorted(df.inputFiles())))
+    except Exception:  # noqa: BLE001 - plans without a stable hash are simply re-counted
+        return None
