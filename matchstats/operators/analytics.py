@@ -305,8 +305,9 @@ def last5_form(master: DataFrame, keys=None, n: int = 5) -> DataFrame:
     return agg.select(
         "team",
         F.concat_ws("", F.transform("__items", lambda x: x["letter"])).alias("form"),
-        F.transform("__items", lambda x: F.concat(x["opponent"], F.lit(" "), x["goals_scored"].cast("string"),
-                                                  F.lit("-"), x["goals_conceded"].cast("string"))).alias("details"),
+        F.concat_ws("; ", F.transform("__items", lambda x: F.concat(
+            x["opponent"], F.lit(" "), x["goals_scored"].cast("string"), F.lit("-"),
+            x["goals_conceded"].cast("string")))).alias("details"),
         "points", (F.col("points") / F.lit(3 * n)).alias("points_share"))
 
 

@@ -17,15 +17,11 @@ from pyspark.sql import types as T
 from matchstats import config as C
 from matchstats.functions import scalar as S
 from matchstats.operators import analytics as A
-from matchstats.operators import evaluation as E
-from matchstats.operators import features as FE
-from matchstats.operators.asof import asof_strict
 from matchstats.operators.goals import aggregate_goals, impute_minute
 from matchstats.operators.master import complete_matches, master_summary, tier_distribution
 from matchstats.operators.names import resolve_names
-from matchstats.operators.rownum import cv_folds, temporal_split
 from matchstats.operators.teamlog import all_teams, team_log
-from matchstats.plans.oracle_sql import knockout_sql, tier_sql, with_ctes
+from matchstats.plans.oracle_sql import knockout_sql, with_ctes
 from matchstats.plans.pipeline import fixture_inputs
 
 KEYS = ["match_id"]
@@ -491,8 +487,8 @@ def q_goal_trend(spark, sf):
        """WITH r AS (SELECT *, row_number() OVER (PARTITION BY team ORDER BY date DESC, match_id DESC) AS rk FROM ctl)
           SELECT team,
             string_agg(upper(substring(team_result, 1, 1)), '' ORDER BY date, match_id) AS form,
-            list(opponent || ' ' || CAST(goals_scored AS VARCHAR) || '-' || CAST(goals_conceded AS VARCHAR)
-                 ORDER BY date, match_id) AS details,
+            string_agg(opponent || ' ' || CAST(goals_scored AS VARCHAR) || '-' || CAST(goals_conceded AS VARCHAR),
+                 '; ' ORDER BY date, match_id) AS details,
             CAST(sum(points) AS BIGINT) AS points, sum(points) / 15.0 AS points_share
           FROM r WHERE rk <= 5 GROUP BY team""", doubles=["points_share"])
 def q_last5_form(spark, sf):
