@@ -38,3 +38,21 @@ def test_stream_ingest_hook_log_and_replay(spark, scratch):
     # replay of the whole feed with a fresh stream checkpoint is a no-op
     run_ingest_stream(spark, f"{scratch}/feed/*", master_path, f"{scratch}/w2", ["match_id"])
     assert spark.read.parquet(master_path).count() == base + n_valid
+
+
+def test_stream_retrain_hook(spark, scratch):
+    from matchstats.streaming.update import make_update_hook
+    inp = fixture_inputs(spark, SF0001)
+    cut = dt.date(2001, 1, 1)
+    master_path = f"{scratch}/master"
+    inp.master.filter(F.col("date") < F.lit(cut)).write.parquet(master_path)
+    so = inp.shootouts.select("match_id", F.col("winner").alias("shootout_winner"))
+    feed = inp.results.join(so, "match_id", "left").filter(F.col("date") >= F.lit(cut))
+    for i, (lo, hi) in enumerate([("2001-01-01", "2001-04-01"), ("2001-04-01", "2002-01-01")]):
+        feed.filter((F.col("date") >= lo) & (F.col("date") < hi)).coalesce(1).write.json(f"{scratch}/feed/p{i}")
+    hook = make_update_hook(inp.shootouts, f"{scratch}/model", f"{scratch}/retrain_log", ["match_id"])
+    run_ingest_stream(spark, f"{scratch}/feed/*", master_path, f"{scratch}/w", ["match_id"], on_batch=hook)
+    log = spark.read.json(f"{scratch}/retrain_log").orderBy("epoch").collect()
+    assert len(log) == 2
+    assert log[0]["rolling_accuracy_last_100"] is None          # no earlier model to test with
+    assert 0.0 <= log[1]["rolling_accuracy_last_100"] <= 1.0    # scored before the refit
