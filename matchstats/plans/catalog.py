@@ -357,7 +357,7 @@ def q_goals_histogram(spark, sf):
 
 
 @query("top_scorers",
-       """WITH g AS (SELECT * FROM goals_n WHERE NOT own_goal AND scorer IS NOT NULL),
+       """WITH g AS (SELECT * FROM raw_goals WHERE NOT own_goal AND scorer IS NOT NULL),
           per AS (SELECT scorer, count(*) AS goals, CAST(sum(CAST(penalty AS INT)) AS BIGINT) AS penalties
                   FROM g GROUP BY scorer),
           st AS (SELECT scorer, team, row_number() OVER (PARTITION BY scorer ORDER BY count(*) DESC, team) AS r
@@ -365,10 +365,9 @@ def q_goals_histogram(spark, sf):
           SELECT per.scorer, per.goals, per.penalties, st.team FROM per JOIN st ON per.scorer = st.scorer AND st.r = 1
           ORDER BY goals DESC, scorer LIMIT 20""")
 def q_top_scorers(spark, sf):
-    """A14 + T5."""
-    inp = _inp(spark, sf)
-    g = resolve_names(inp.goals, inp.former_names, ["home_team", "away_team", "team"])
-    return A.top_scorers(g)
+    """A14 + T5 over the raw goal rows (the scorer table reads them before
+    any name resolution)."""
+    return A.top_scorers(_inp(spark, sf).goals)
 
 
 _SHOOT_SIDES = ("(SELECT winner, home_team AS team FROM raw_shootouts UNION ALL "
