@@ -84,7 +84,7 @@ def form_states(tl: DataFrame, keys: list[str], windows: list[int] | None = None
             .select("team", "date", F.struct(*state_names).alias("form_after")))
 
 
-def team_day_states(master: DataFrame, shootouts: DataFrame | None, queries: DataFrame,
+def team_day_states(master: DataFrame, shootouts: DataFrame | None, queries: DataFrame | None,
                     keys: list[str], windows: list[int] | None = None) -> DataFrame:
     """Per (team, date): career, shootout, rest-day and form state strictly
     before that date (W1-W7)."""
@@ -108,9 +108,11 @@ def team_day_states(master: DataFrame, shootouts: DataFrame | None, queries: Dat
                                zero.alias("draws"), zero.alias("gs"), zero.alias("gc"), zero.alias("clean"),
                                F.lit(1).cast("long").alias("so_app"),
                                (F.col("winner") == F.col("team")).cast("long").alias("so_win")))
-    qd = _query_team_days(queries)
-    parts.append(qd.select("team", "date", *[zero.alias(c) for c in
-                                              ["n_all", "n_c", "wins", "draws", "gs", "gc", "clean", "so_app", "so_win"]]))
+    if queries is not None:  # query days not already present as history events
+        qd = _query_team_days(queries)
+        parts.append(qd.select("team", "date", *[zero.alias(c) for c in
+                                                  ["n_all", "n_c", "wins", "draws", "gs", "gc", "clean", "so_app",
+                                                   "so_win"]]))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -153,7 +155,7 @@ def side_features(states: DataFrame, windows: list[int] | None = None) -> DataFr
     return states.select("team", "date", *cols)
 
 
-def h2h_day_states(master: DataFrame, queries: DataFrame) -> DataFrame:
+def h2h_day_states(master: DataFrame, queries: DataFrame | None) -> DataFrame:
     """W8 state per (unordered pair, date), strictly before the date."""
     lo = F.least("home_team", "away_team")
     hi = F.greatest("home_team", "away_team")
@@ -169,9 +171,10 @@ def h2h_day_states(master: DataFrame, queries: DataFrame) -> DataFrame:
         (done & hi_win).cast("long").alias("hi_wins"),
         F.when(done, F.coalesce(F.col("total_goals"), F.lit(0))).otherwise(0).cast("long").alias("goals"))
     zero = F.lit(0).cast("long")
-    qd = queries.select(lo.alias("lo"), hi.alias("hi"), "date", *[zero.alias(c) for c in
-                                                                  ["n", "lo_wins", "draws", "hi_wins", "goals"]])
-    daily = (ev.unionByName(qd).filter(F.col("lo").isNotNull() & F.col("date").isNotNull())
+    if queries is not None:  # query pair-days not already present as history events
+        ev = ev.unionByName(queries.select(lo.alias("lo"), hi.alias("hi"), "date", *[
+            zero.alias(c) for c in ["n", "lo_wins", "draws", "hi_wins", "goals"]]))
+    daily = (ev.filter(F.col("lo").isNotNull() & F.col("date").isNotNull())
              .groupBy("lo", "hi", "date").agg(*[F.sum(c).alias(c) for c in ["n", "lo_wins", "draws", "hi_wins", "goals"]]))
     w = Window.partitionBy("lo", "hi").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     return daily.select("lo", "hi", "date", *[
@@ -220,16 +223,20 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
         master = cut_lineage(master.select(*cols))
         if shootouts is not None:
             shootouts = cut_lineage(shootouts.select("date", "home_team", "away_team", "winner"))
+    # Queries drawn from master itself already have their (team, day) and
+    # (pair, day) rows among the history events; external fixtures add theirs.
+    external = queries is not None
     if queries is None:
         queries = complete_matches(master)
     keep = [c for c in (keep_cols or ["result", "match_weight"]) if c in queries.columns]
     q = queries.select(*keys, "date", "home_team", "away_team", "neutral", "tournament", "tournament_tier", *keep)
-    states = side_features(team_day_states(master, shootouts, q, keys, windows), windows)
+    qx = q if external else None
+    states = side_features(team_day_states(master, shootouts, qx, keys, windows), windows)
     side_cols = [c for c in states.columns if c not in ("team", "date")]
     home = states.select(F.col("team").alias("home_team"), "date", *[F.col(c).alias(f"home_{c}") for c in side_cols])
     away = states.select(F.col("team").alias("away_team"), "date", *[F.col(c).alias(f"away_{c}") for c in side_cols])
     j = q.join(home, ["home_team", "date"], "left").join(away, ["away_team", "date"], "left")
-    j = h2h_features(j, h2h_day_states(master, q))
+    j = h2h_features(j, h2h_day_states(master, qx))
     j = (j.withColumnRenamed("home_days_since_last_match", "days_since_last_match_home")
          .withColumnRenamed("away_days_since_last_match", "days_since_last_match_away")
          .withColumn("is_neutral", F.coalesce(F.col("neutral"), F.lit(False)).cast("int"))

@@ -142,3 +142,18 @@ def test_decade_and_days(spark):
     df = spark.createDataFrame([(dt.date(1999, 5, 1), dt.date(1999, 4, 1))], "a date, b date")
     r = df.select(S.decade_label("a"), S.days_between("a", "b")).first()
     assert r[0] == "1990s" and r[1] == 30
+
+
+def test_external_fixtures_use_history_only(spark):
+    from tests.helpers import matches
+    m = master_of(spark, [(1, D(2000, 1, 1), "A", "B", 2, 0), (2, D(2000, 1, 5), "B", "A", 1, 1)])
+    fx = (matches(spark, [(10, D(2000, 2, 1), "A", "B", None, None), (11, D(2000, 2, 1), "A", "C", None, None),
+                          (12, D(2000, 3, 1), "A", "B", None, None)])
+          .withColumn("tournament_tier", F.lit(3)))
+    f = {r["match_id"]: r.asDict() for r in build_features(m, None, queries=fx, keep_cols=[]).collect()}
+    assert f[10]["home_win_pct"] == 0.5 and f[10]["h2h_matches_played"] == 2
+    assert f[10]["h2h_home_win_pct"] == 0.5 and f[10]["h2h_draw_pct"] == 0.5
+    assert f[10]["days_since_last_match_home"] == 27
+    # fixtures add no history: the later fixture sees the same past
+    assert f[12]["days_since_last_match_home"] == 56 and f[12]["h2h_matches_played"] == 2
+    assert f[11]["away_win_pct"] == 0.0 and f[11]["days_since_last_match_away"] == 365
