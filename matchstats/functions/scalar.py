@@ -35,10 +35,20 @@ def result_label(home_goals="home_goals", away_goals="away_goals") -> Column:
 
 # --- P3 / P4 / P12 / F14 --------------------------------------------------
 
-def tournament_tier(tournament="tournament") -> Column:
+_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñç"
+_PLAIN = "aaaaaaeeeeiiiiooooouuuunc"
+
+
+def tournament_tier(tournament="tournament", fold_accents: bool = False) -> Column:
     """Tier 1 if any tier-1 pattern and no 'qualif'; else tier 2 on any
-    tier-2 pattern; else 3 (NULL -> 3).  Plain substring tests on lower()."""
+    tier-2 pattern; else 3 (NULL -> 3).  Plain substring tests on lower().
+
+    By default accents are kept, as in the reference ('Copa América' does
+    not contain 'copa america' and is tier 3); ``fold_accents=True`` maps
+    accented letters to plain ones first."""
     t = F.lower(_col(tournament))
+    if fold_accents:
+        t = F.translate(t, _ACCENTED, _PLAIN)
     tier1 = any_of([t.contains(k) for k in C.TIER1_KEYWORDS]) & ~t.contains(C.TIER1_BLOCKER)
     tier2 = any_of([t.contains(k) for k in C.TIER2_KEYWORDS])
     return (F.when(t.isNull(), F.lit(3))

@@ -1,6 +1,6 @@
 """Run the local oracle comparison for all (or selected) registered queries.
 
-usage: python scripts_check.py [sf_dir] [name ...]
+usage: python scripts_check.py [--oracle-only] [sf_dir] [name ...]
 """
 
 import json
@@ -11,14 +11,16 @@ from matchstats.plans.registry import all_queries
 from matchstats.session import get_session
 
 if __name__ == "__main__":
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    oracle_only = "--oracle-only" in sys.argv
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
     spark = get_session()
     con = duck_connection(sf)
     reg = all_queries()
     bad = 0
     for name, (fn, sql) in reg.items():
-        if names and name not in names:
+        if (names and name not in names) or (oracle_only and sql is None):
             continue
         try:
             r = compare(spark, name, fn, sql, sf, con)

@@ -157,3 +157,10 @@ def test_external_fixtures_use_history_only(spark):
     # fixtures add no history: the later fixture sees the same past
     assert f[12]["days_since_last_match_home"] == 56 and f[12]["h2h_matches_played"] == 2
     assert f[11]["away_win_pct"] == 0.0 and f[11]["days_since_last_match_away"] == 365
+
+
+def test_tier_accent_folding_option(spark):
+    df = spark.createDataFrame([("Copa América",), ("Copa America",)], "tournament string")
+    plain = [r[0] for r in df.select(S.tournament_tier("tournament")).collect()]
+    folded = [r[0] for r in df.select(S.tournament_tier("tournament", fold_accents=True)).collect()]
+    assert plain == [3, 1] and folded == [1, 1]
