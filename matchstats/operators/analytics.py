@@ -189,6 +189,17 @@ def top_scorers(goals: DataFrame, n: int = 20, team: str | None = None) -> DataF
             .orderBy(F.col("goals").desc(), F.col("scorer").asc()).limit(n))
 
 
+def top_scorers_from_source(scorers: DataFrame, n: int = 20) -> DataFrame:
+    """S6 + A14: a pre-aggregated scorer table (columns scorer, goals,
+    penalties, team: first row per scorer, as the dashboard reads it) or,
+    when it lacks a ``goals`` column, raw goal rows through ``top_scorers``."""
+    if "goals" not in scorers.columns:
+        return top_scorers(scorers, n)
+    per = scorers.filter(F.col("scorer").isNotNull()).groupBy("scorer").agg(
+        F.first("goals").alias("goals"), F.first("penalties").alias("penalties"), F.first("team").alias("team"))
+    return per.orderBy(F.col("goals").desc(), F.col("scorer").asc()).limit(n)
+
+
 def shootout_specialists(shootouts: DataFrame, min_app: int = C.EDA_MIN_SHOOTOUTS_FOR_RATE,
                          n: int = C.EDA_TOP_N_TEAMS) -> DataFrame:
     """A15 + T5: appearances, wins, win % per team with appearances >= 2

@@ -74,3 +74,15 @@ def test_scorer_source_fallback(spark):
     goals = fixture_inputs(spark, SF0001).goals
     assert read_scorer_source(spark, None, goals) is goals
     assert read_scorer_source(spark, "/nonexistent/goal.csv", goals) is goals
+
+
+def test_scorer_source_preaggregated(spark, scratch):
+    from matchstats.operators.analytics import top_scorers_from_source
+    path = os.path.join(scratch, "goal.csv")
+    with open(path, "w") as f:
+        f.write("scorer,goals,penalties,team\nX,10,2,A\nY,12,0,B\n")
+    src = read_scorer_source(spark, path, None)
+    out = [(r["scorer"], r["goals"]) for r in top_scorers_from_source(src).collect()]
+    assert out == [("Y", 12), ("X", 10)]
+    goals = fixture_inputs(spark, SF0001).goals
+    assert top_scorers_from_source(goals).count() == 20
