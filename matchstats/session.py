@@ -36,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
         .config("spark.driver.memory", os.environ.get("MATCHSTATS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # remove reliable-checkpoint files once their DataFrames are unreachable
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
