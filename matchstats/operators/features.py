@@ -200,13 +200,21 @@ def h2h_features(queries: DataFrame, h2h_states: DataFrame) -> DataFrame:
         F.when(has, F.col("h2h_goals") / n).otherwise(F.lit(C.H2H_DEFAULT_GOALS)).alias("h2h_avg_goals"))
 
 
+def _expensive(df: DataFrame) -> bool:
+    """True when re-reading ``df`` means re-running joins or aggregates
+    (a master derived from raw tables); False for a plain scan of a
+    persisted table, which every branch can simply read again."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(op in plan for op in ("Join ", "Aggregate ", "Window ", "Union"))
+
+
 MASTER_FEATURE_COLS = ["date", "home_team", "away_team", "home_goals", "away_goals", "result", "is_incomplete",
                        "tournament", "tournament_tier", "neutral", "total_goals", "match_weight"]
 
 
 def build_features(master: DataFrame, shootouts: DataFrame | None = None, queries: DataFrame | None = None,
                    keys: list[str] | None = None, windows: list[int] | None = None,
-                   keep_cols: list[str] | None = None, materialize: bool = True) -> DataFrame:
+                   keep_cols: list[str] | None = None, materialize: bool | str = "auto") -> DataFrame:
     """The 45-column feature matrix for ``queries`` (default: complete
     matches of ``master``), looking back over the whole ``master``.
 
@@ -215,6 +223,8 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
     """
     keys = keys or ["match_id"]
     windows = windows or C.FORM_WINDOWS
+    if materialize == "auto":
+        materialize = _expensive(master)
     if materialize:
         # Every branch below (two-sided log, form states, pair states,
         # queries) reads master: compute it once, narrow, and cut lineage
