@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchstats.functions import scalar as S
 from matchstats.operators.goals import aggregate_goals
-from matchstats.operators.names import resolve_names
+from matchstats.operators.names import resolve_names, validate_dimension
 
 NATURAL_KEYS = ["date", "home_team", "away_team"]
 
@@ -41,6 +41,7 @@ def build_master(results: DataFrame, goals: DataFrame, shootouts: DataFrame, for
     """
     keys = keys or NATURAL_KEYS
     extra = [k for k in keys if k not in NATURAL_KEYS]
+    validate_dimension(former_names)  # one match per row: no fan-out in J1
     res = resolve_names(results, former_names, ["home_team", "away_team"])
     sht = shootouts
     if resolve_shootouts:

@@ -22,6 +22,17 @@ def overlapping_intervals(dim: DataFrame) -> DataFrame:
     ).select(F.col("a.former"), F.col("a.current"), F.col("a.start_date"), F.col("a.end_date"))
 
 
+def validate_dimension(dim: DataFrame) -> None:
+    """Raise if a former name has overlapping validity intervals, which
+    would make the range join match two rows and duplicate facts.  The
+    self join runs on the (small) dimension only."""
+    bad = overlapping_intervals(dim).limit(1).collect()
+    if bad:
+        r = bad[0]
+        raise ValueError(f"name dimension has overlapping intervals for '{r['former']}' "
+                         f"(e.g. {r['start_date']}..{r['end_date']} -> {r['current']})")
+
+
 def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col: str = "date",
                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Replace ``name`` with ``current`` when ``name == former`` and

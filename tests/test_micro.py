@@ -164,3 +164,12 @@ def test_tier_accent_folding_option(spark):
     plain = [r[0] for r in df.select(S.tournament_tier("tournament")).collect()]
     folded = [r[0] for r in df.select(S.tournament_tier("tournament", fold_accents=True)).collect()]
     assert plain == [3, 1] and folded == [1, 1]
+
+
+def test_overlapping_name_intervals_rejected(spark):
+    from matchstats.operators.names import validate_dimension
+    dim = spark.createDataFrame([("X", "OLD", D(2000, 1, 1), D(2000, 12, 31)),
+                                 ("Y", "OLD", D(2000, 6, 1), D(2001, 12, 31))],
+                                "current string, former string, start_date date, end_date date")
+    with pytest.raises(ValueError, match="overlapping"):
+        validate_dimension(dim)
