@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from matchstats.llm.common import read_table
 from matchstats.llm.decontam import decontaminate
 from matchstats.llm.license_scan import scan_licenses
+from matchstats.llm.line_dedup import dedup_lines
 from matchstats.llm.ngram_join import ngram_components
 from matchstats.llm.packing import pack
 from matchstats.llm.pii import find_personal_data
 from matchstats.llm.quality import quality_rules
 from matchstats.llm.token_counts import count_tokens
+from matchstats.llm.toxicity import toxicity
+from matchstats.llm.warc import archive_round_trip
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_MODEL = "byte_bpe_50k.json"
@@ -29,6 +32,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_warc")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as WARC files and read back."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of all documents."""
@@ -53,6 +62,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(read_table(spark, sf_dir, "documents")).drop("tkey")
 
 
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that stand, or nearly stand, earlier."""
+    return dedup_lines(read_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 @query("op7_ngram_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles are 90 % alike."""
@@ -69,3 +84,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fertility and base quality rules over all documents."""
     return quality_rules(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL)).drop("tkey")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -120,6 +120,13 @@ def run_hash(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return mixed(total)
 
 
+def position_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(inverse powers, powers) of the base for positions 0 .. n at least."""
+    if len(_POW[0]) <= n:
+        _POW[:] = [_powers(_BASE, max(n + 1, CHUNK_BYTES + 1)), _powers(_INVERSE, max(n + 1, CHUNK_BYTES + 1))]
+    return _POW[1], _POW[0]
+
+
 def string_hashes(strings: pa.Array) -> np.ndarray:
     """64-bit hash of each whole string."""
     out = np.zeros(len(strings), np.uint64)
@@ -131,12 +138,11 @@ def string_hashes(strings: pa.Array) -> np.ndarray:
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
     """Hash of the bytes of each span (A-Z as a-z, if ``lower``)."""
     n = len(data)
-    if len(_POW[0]) <= n:
-        _POW[:] = [_powers(_BASE, max(n + 1, CHUNK_BYTES + 1)), _powers(_INVERSE, max(n + 1, CHUNK_BYTES + 1))]
+    inverse, forward = position_powers(n)
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((_BYTE[_LOWER] if lower else _BYTE)[data] * _POW[0][:n], out=total[1:])
-        return mixed((total[end] - total[start]) * _POW[1][start])
+        np.cumsum((_BYTE[_LOWER] if lower else _BYTE)[data] * forward[:n], out=total[1:])
+        return mixed((total[end] - total[start]) * inverse[start])
 
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: str, lower: bool) -> Words:
