@@ -5,12 +5,18 @@ Rows are dealt into blocks by bounds from their sizes alone: with n-grams in
 one order for all sets, two sets of similarity >= t agree in one of the first
 n - ceil(t n) + 1 of each, and their sizes differ by the factor t at most.  So
 a block is the rows of one size class that hold one such n-gram; frequent
-n-grams come last in the order, which keeps blocks small.  Within a block
-overlap counts are accumulated and pairs below t * union are discarded:
-first each row against the block's pivot, then, where rows of a block are not
-yet in one component, every pair of rows in tiles of ``TILE`` rows inside the
-tasks, which return links between components only.  No pair of a block is left
-out, and none is written out unless it links.
+n-grams come last in the order, which keeps blocks small.
+
+Every row has a parity sketch: bit b tells whether the row's n-grams of hash b
+are odd in number.  Bits that differ bound the symmetric difference of two rows
+from below, and sizes give the largest difference of a similar pair, so pairs
+beyond it are discarded without their columns.  For the rest the product is
+computed: overlap counts of the rows' columns, against t * union.  First each
+row meets its block's pivot; then, where rows of a block are not yet in one
+component, all pairs of rows of different components meet, in tiles of ``TILE``
+rows inside the tasks.  Of the pairs that pass their sketch a task first returns
+those of a spanning forest of its components; once these are joined, all that
+are left.  No pair is left out.
 
 Defined results: texts without words (null, empty) have an empty set and are
 linked with nothing; texts of fewer than n words have one n-gram, the whole;
@@ -24,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,9 +45,10 @@ CLASS_RATIO = 1.5
 FREQUENT = 1 << 17
 PROPOSED = 1 << 15
 LEAST_PROPOSED = 4
-#: Rows of a tile of the product, and columns added up at a time.
+#: Rows of a tile.
 TILE = 512
-TILE_COLUMNS = 4096
+#: Least bits of a sketch; it has a power of two of them, one per n-gram at least.
+SKETCH_BITS = 64
 
 _BOUNDS = np.unique(np.ceil(CLASS_RATIO ** np.arange(0, 80)).astype(np.int64))
 
@@ -96,6 +102,17 @@ def _set_ids(grams: np.ndarray, off: np.ndarray) -> np.ndarray:
         return mixed(total[off[1:]] - total[off[:-1]] + np.diff(off).astype(np.uint64)).astype(np.int64)
 
 
+def sketches(grams: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words of all sketches, offsets)."""
+    size = np.diff(off)
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    ends = np.concatenate([[0], np.cumsum(bits)])
+    h = mixed(grams ^ np.uint64(0x2545F4914F6CDD1D))
+    place = (h & np.repeat(bits - 1, size).astype(np.uint64)).astype(np.int64) + np.repeat(ends[:-1], size)
+    odd = (np.bincount(place, minlength=int(ends[-1])) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64), ends // 64
+
+
 def frequent_grams(docs: DataFrame, n: int) -> np.ndarray:
     """At most ``FREQUENT`` hashes, the most frequent last in the order."""
     def count(batch, grams, off):
@@ -111,7 +128,8 @@ def frequent_grams(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, n: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
-    """doc_id, tkey, size, sid (the set's number) and block keys of every row."""
+    """doc_id, tkey, size, sid (the set's number), block keys and sketch of
+    every row."""
     order = np.argsort(frequent)
     known, rank = frequent[order].copy(), (len(frequent) - order).astype(np.uint64)
 
@@ -137,18 +155,20 @@ def describe(docs: DataFrame, n: int, num: int, den: int, frequent: np.ndarray)
                 take *= 1 + bool(also[i])
             ends.append(ends[-1] + take)
         flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+        sketch, at = sketches(grams, off)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("tkey"), pa.array(size, pa.int64()),
-             pa.array(_set_ids(grams, off)), pa.ListArray.from_arrays(_offsets(np.array(ends)), pa.array(flat))],
-            ["doc_id", "tkey", "size", "sid", "keys"])
+             pa.array(_set_ids(grams, off)), pa.ListArray.from_arrays(_offsets(np.array(ends)), pa.array(flat)),
+             pa.ListArray.from_arrays(_offsets(at), pa.array(sketch))],
+            ["doc_id", "tkey", "size", "sid", "keys", "sketch"])
 
-    return _each(docs, n, keys, "doc_id long, tkey long, size long, sid long, keys array<long>")
+    return _each(docs, n, keys, "doc_id long, tkey long, size long, sid long, keys array<long>, sketch array<long>")
 
 
-def matrix_rows(docs: DataFrame, n: int, blocks: DataFrame, described: DataFrame) -> DataFrame:
-    """sid and n-grams of every set that shares a block with another."""
-    shared = blocks.select("sid").distinct()
-    texts = (described.groupBy("sid").agg(F.min("tkey").alias("tkey")).join(shared, "sid"))
+def matrix_rows(docs: DataFrame, n: int, pairs: DataFrame, described: DataFrame) -> DataFrame:
+    """sid and n-grams of every set of the pairs (a, b)."""
+    wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    texts = described.groupBy("sid").agg(F.min("tkey").alias("tkey")).join(wanted, "sid", "left_semi")
 
     def rows(batch, grams, off):
         yield pa.RecordBatch.from_arrays(
@@ -156,90 +176,159 @@ def matrix_rows(docs: DataFrame, n: int, blocks: DataFrame, described: DataFrame
             ["sid", "grams"])
 
     found = _each(docs, n, rows, "sid long, grams array<long>", keep=bitmap_of(texts, "tkey"))
-    return found.join(shared, "sid", "left_semi").dropDuplicates(["sid"])
-
-
-def tile_links(a: list[np.ndarray], b: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Boolean tile: which rows of a and b are similar.  Only columns that both
-    sides hold are multiplied; counts are added up over slices of them."""
-    def flat(rows):
-        return (np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]))
-
-    (ga, ra), (gb, rb) = flat(a), flat(b)
-    both = np.intersect1d(ga, gb)
-    counts = np.zeros((len(a), len(b)), np.float32)
-    for c in range(0, len(both), TILE_COLUMNS):
-        part = both[c: c + TILE_COLUMNS]
-        sides = []
-        for g, r, rows in ((ga, ra, a), (gb, rb, b)):
-            at = np.minimum(np.searchsorted(part, g), len(part) - 1)
-            hit = part[at] == g
-            m = np.zeros((len(rows), len(part)), np.float32)
-            m[r[hit], at[hit]] = 1
-            sides.append(m)
-        counts += sides[0] @ sides[1].T
-    sizes = np.array([len(r) for r in a])[:, None] + np.array([len(r) for r in b])[None, :]
-    overlap = counts.astype(np.int64)
-    return den * overlap >= num * (sizes - overlap)
-
-
-def _spanning(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Those links that join two parts not joined by earlier ones."""
-    up: dict[int, int] = {}
+    return found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"])
 
-    def root(x):
-        while up.setdefault(x, x) != x:
-            up[x] = x = up[up[x]]
-        return x
 
-    out = []
-    for x, y in pairs:
-        p, q = root(x), root(y)
-        if p != q:
-            up[p] = q
-            out.append((x, y))
-    return out
+def product_links(docs: DataFrame, n: int, pairs: DataFrame, described: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of the pairs (a, b) whose rows' product reaches the similarity."""
+    matrix = written(matrix_rows(docs, n, pairs, described), "matrix")
+    rows = pairs.join(matrix.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a").join(
+        matrix.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b")
+    overlap = F.size(F.array_intersect("ga", "gb"))
+    return rows.filter(F.lit(den) * overlap >= F.lit(num) * (F.size("ga") + F.size("gb") - overlap)).select("a", "b")
 
 
-def _pivot_links(blocks: DataFrame, matrix: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between a block's pivot and its other rows."""
+def most_different(size_a, size_b, num: int, den: int):
+    """Largest symmetric difference of similar sets of these sizes: with
+    overlap >= num * (a + b) / (den + num), a + b - 2 * overlap."""
+    total = size_a + size_b
+    return total - 2 * -((-num * total) // (den + num))
+
+
+def pivot_pairs(blocks: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (pivot, other row) of the blocks that pass sizes and sketches."""
     pairs = (blocks.filter("sid != pivot")
-             .filter((F.lit(den) * F.least("size", "pivot_size") >= F.lit(num) * F.greatest("size", "pivot_size")))
-             .select("pivot", "sid").distinct())
-    rows = pairs.join(matrix.withColumnRenamed("grams", "g"), "sid").join(
-        matrix.select(F.col("sid").alias("pivot"), F.col("grams").alias("h")), "pivot")
-    overlap = F.size(F.array_intersect("g", "h"))
-    return rows.filter(F.lit(den) * overlap >= F.lit(num) * (F.size("g") + F.size("h") - overlap)).select(
-        F.col("pivot").alias("a"), F.col("sid").alias("b"))
+             .filter(F.lit(den) * F.least("size", "pivot_size") >= F.lit(num) * F.greatest("size", "pivot_size"))
+             .select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct())
+    left = rows.select(F.col("sid").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("sa"))
+    right = rows.select(F.col("sid").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("sb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, at), (y, to) = _padded(batch.column("sa")), _padded(batch.column("sb"))
+            own = np.arange(batch.num_rows)
+            differ = pair_distance(np.concatenate([x, y]), np.concatenate([at, to[1:] + at[-1]]), own, own + len(own))
+            limit = most_different(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), num, den)
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= limit))
+
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def _padded(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(flat sketch words, offsets) of a list column."""
+    off = lists.offsets.to_numpy()
+    return lists.flatten().to_numpy().view(np.uint64), off - off[0]
+
 
+def _taken(flat: np.ndarray, off: np.ndarray, at: np.ndarray, width: int, folded: int) -> np.ndarray:
+    """Sketches of rows ``at`` (all of ``width`` words), folded to fewer words."""
+    sketch = flat[off[at][:, None] + np.arange(width)]
+    while sketch.shape[1] > folded:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
 
-def _tiled_links(blocks: DataFrame, matrix: DataFrame, roots: DataFrame, num: int, den: int) -> DataFrame:
-    """Links between components within the blocks that hold several."""
+
+def tile_pairs(blocks: DataFrame, rows: DataFrame, roots: DataFrame, num: int, den: int, spanning: bool) -> DataFrame:
+    """Pairs of rows of different components, of blocks that hold several,
+    that pass sizes and sketches (pairs with the pivot were seen before); if
+    ``spanning``, of each task's only those that join its components."""
     rooted = blocks.join(roots, blocks["sid"] == roots["node"], "left").select(
-        "key", "sid", F.coalesce("root", "sid").alias("root"))
+        "key", "sid", "pivot", F.coalesce("root", "sid").alias("root"))
     span = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
                                      F.count("*").alias("members")).filter("lo != hi and members > 2")
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     own = F.pmod(F.xxhash64("sid", F.lit(7)), F.col("tiles")).cast("int")
-    open_rows = (rooted.join(span.select("key", tiles.alias("tiles")), "key").withColumn("own", own)
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-                 .select("key", "sid", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         "own"))
-    full = open_rows.join(matrix, "sid")
-
-    def product(block: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(block["i"].iloc[0]), int(block["j"].iloc[0])
-        a = block[block["own"] == i]
-        b = block[block["own"] == j]
-        pairs: list[tuple[int, int]] = []
-        if len(a) and len(b):
-            linked = tile_links(list(a["grams"]), list(b["grams"]), num, den)
-            ra, rb = a["root"].to_numpy(), b["root"].to_numpy()
-            x, y = np.nonzero(linked & (ra[:, None] != rb[None, :]))
-            pairs = _spanning(list(dict.fromkeys(zip(ra[x].tolist(), rb[y].tolist()))))
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
-
-    return full.groupBy("key", "i", "j").applyInPandas(product, "a long, b long")
+    dealt = (rooted.filter("sid != pivot").join(span.select("key", tiles.alias("tiles")), "key").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+             .select("key", "sid", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own"))
+    full = dealt.join(rows.select("sid", "size", "sketch"), "sid").repartition("key", "i", "j").sortWithinPartitions(
+        "key", "i", "j")
+
+    def pairs_of(part: pa.Table, ends: np.ndarray) -> np.ndarray:
+        """Pairs (a, b) of rows of one tile that pass; ends: each row's tile's end."""
+        side, size, root, sid, i, j = (part[c].to_numpy() for c in ("own", "size", "root", "sid", "i", "j"))
+        flat, off = _padded(part["sketch"].combine_chunks())
+        found, left = [np.zeros((0, 5), np.int64)], np.arange(len(sid))
+        for step in range(1, len(sid)):
+            left = left[left + step < ends[left]]
+            if not len(left):
+                break
+            a, b = left, left + step
+            # tiles of two sides hold the pairs across them
+            ok = (root[a] != root[b]) & ((i[a] == j[a]) | (side[a] != side[b]))
+            ok &= den * np.minimum(size[a], size[b]) >= num * np.maximum(size[a], size[b])
+            a, b = a[ok], b[ok]
+            differ = pair_distance(flat, off, a, b)
+            ok = differ <= most_different(size[a], size[b], num, den)
+            a, b = a[ok], b[ok]
+            found.append(np.stack([sid[a], sid[b], root[a], root[b], differ[ok]], axis=1))
+        found = np.concatenate(found)
+        if spanning:
+            return _forest(found)
+        return np.unique(np.sort(found[:, :2], axis=1), axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, ends in _runs(batches, ["key", "i", "j"]):
+            if len(pairs := pairs_of(part, ends)):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return full.mapInArrow(run, "a long, b long").distinct()
+
+
+def pair_distance(flat: np.ndarray, off: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of the sketches of rows a and b, pair by pair."""
+    width = np.diff(off)
+    out = np.zeros(len(a), np.int64)
+    for wa, wb in set(zip(width[a].tolist(), width[b].tolist())):
+        at = np.flatnonzero((width[a] == wa) & (width[b] == wb))
+        x, y = _taken(flat, off, a[at], wa, min(wa, wb)), _taken(flat, off, b[at], wb, min(wa, wb))
+        out[at] = np.bitwise_count(x ^ y).sum(axis=1)
+    return out
+
+
+def _forest(found: np.ndarray) -> np.ndarray:
+    """Of rows (a, b, root of a, root of b, distance) the pairs that join
+    components, the closest first."""
+    found = found[np.argsort(found[:, 4], kind="stable")]
+    _, first = np.unique(np.sort(found[:, 2:4], axis=1), axis=0, return_index=True)
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    out = []
+    for k in np.sort(first):
+        p, q = top(int(found[k, 2])), top(int(found[k, 3]))
+        if p != q:
+            up[p] = q
+            out.append(k)
+    return found[out, :2]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole runs of rows with equal keys, some at a time, with the end of each
+    row's run; a run that a batch cuts is kept for the next."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        if not table.num_rows:
+            continue
+        change = np.zeros(table.num_rows - 1, dtype=bool)
+        for k in keys:
+            c = table[k].to_numpy()
+            change |= c[1:] != c[:-1]
+        cuts = np.flatnonzero(change) + 1
+        held = table.slice(cuts[-1]) if len(cuts) else table
+        if len(cuts):
+            yield table.slice(0, cuts[-1]), np.repeat(cuts, np.diff(cuts, prepend=0))
+    if held is not None:
+        yield held, np.full(held.num_rows, held.num_rows)
 
 
 def ngram_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -250,20 +339,22 @@ def ngram_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100)
     described = written(describe(docs, n, num, den, frequent_grams(docs, n)), "gram-sets")
     full = described.filter("size > 0")
     one = full.select("sid", "size", "keys").dropDuplicates(["sid"])
-    placed = one.select(F.explode("keys").alias("key"), "sid", "size")
+    rows = full.select("sid", "size", "sketch").dropDuplicates(["sid"])
     w = Window.partitionBy("key")
-    # the pivot is the block's middle-sized row's neighbour in no order: the least number
     blocks = written(
-        placed.withColumn("p", F.min(F.struct("sid", "size")).over(w)).withColumn("last", F.max("sid").over(w))
+        one.select(F.explode("keys").alias("key"), "sid", "size")
+        .withColumn("p", F.min(F.struct("sid", "size")).over(w)).withColumn("last", F.max("sid").over(w))
         .filter(F.col("last") != F.col("p")["sid"])
         .select("key", "sid", "size", F.col("p")["sid"].alias("pivot"), F.col("p")["size"].alias("pivot_size")),
         "blocks")
-    matrix = written(matrix_rows(docs, n, blocks, full), "matrix")
-    links = written(_pivot_links(blocks, matrix, num, den), "pivot-links")
+    pairs = written(pivot_pairs(blocks, rows, num, den), "pivot-pairs")
+    links = written(product_links(docs, n, pairs, full, num, den), "pivot-links")
     roots = components(links)
-    more = written(_tiled_links(blocks, matrix, roots, num, den), "tile-links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    for spanning in (True, False):
+        more = written(tile_pairs(blocks, rows, roots, num, den, spanning), "tile-pairs")
+        if not more.isEmpty():
+            links = written(links.union(product_links(docs, n, more, full, num, den)), "tile-links")
+            roots = components(links)
 
     rooted = described.join(roots, described["sid"] == roots["node"], "left").select(
         "doc_id", "tkey", F.col("size").alias("n_shingles"),
