@@ -1,2 +1 @@
-from matchstats.functions.broadcast import checked_broadcast  # noqa: F401
 from matchstats.functions import scalar  # noqa: F401

@@ -110,6 +110,16 @@ def home_advantage_gap(master: DataFrame) -> DataFrame:
     return r.withColumn("gap_pct_points", F.col("home_venue_hw_pct") - F.col("neutral_venue_hw_pct"))
 
 
+def decades_present(master: DataFrame) -> DataFrame:
+    """U4: the decades that hold a match."""
+    return master.filter(F.col("date").isNotNull()).select(S.decade("date").alias("decade")).distinct()
+
+
+def teams_with_goals(goals: DataFrame) -> DataFrame:
+    """U4: teams that have at least one goal row."""
+    return goals.filter(F.col("team").isNotNull()).select("team").distinct()
+
+
 def home_win_by_decade(master: DataFrame, non_neutral_only: bool = False) -> DataFrame:
     """A10: home-win % by decade over matches with a result."""
     done = master.filter(F.col("result").isNotNull())
@@ -120,6 +130,18 @@ def home_win_by_decade(master: DataFrame, non_neutral_only: bool = False) -> Dat
         F.count(F.lit(1)).alias("n"))
 
 
+def home_advantage_ends(master: DataFrame) -> DataFrame:
+    """A10: home-win % at non-neutral venues in the first and the last decade,
+    and the direction of the change (one row, from one row per decade)."""
+    d = home_win_by_decade(master, non_neutral_only=True)
+    ends = d.agg(F.min("decade").alias("first_decade"), F.max("decade").alias("last_decade"),
+                 F.min_by("home_win_pct", "decade").alias("first_pct"),
+                 F.max_by("home_win_pct", "decade").alias("last_pct"))
+    change = F.col("last_pct") - F.col("first_pct")
+    return ends.withColumn("change", change).withColumn(
+        "direction", F.when(change > 0, "up").when(change < 0, "down").otherwise("flat"))
+
+
 def avg_goals_by(master: DataFrame, by: str) -> DataFrame:
     """Mean total_goals by decade / tier (complete, total known)."""
     comp = master.filter(F.col("result").isNotNull() & F.col("total_goals").isNotNull())
@@ -329,8 +351,8 @@ def h2h_last_n(master: DataFrame, keys=None, n: int = 5) -> DataFrame:
     comp = complete_matches(master)
     lo, hi = F.least("home_team", "away_team"), F.greatest("home_team", "away_team")
     w = Window.partitionBy("team_a", "team_b").orderBy(F.col("date").desc(), *[F.col(k).desc() for k in keys])
-    return (comp.select(*keys, "date", "home_team", "away_team", "home_goals", "away_goals", "result", "tournament",
-                        lo.alias("team_a"), hi.alias("team_b"))
+    return (comp.select(*dict.fromkeys([*keys, "date", "home_team", "away_team", "home_goals", "away_goals", "result",
+                                     "tournament"]), lo.alias("team_a"), hi.alias("team_b"))
             .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
             .withColumn("date_str", S.display_date("date"))
             .withColumn("tournament_short", F.substring("tournament", 1, 28)))

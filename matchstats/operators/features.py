@@ -200,31 +200,25 @@ def h2h_features(queries: DataFrame, h2h_states: DataFrame) -> DataFrame:
         F.when(has, F.col("h2h_goals") / n).otherwise(F.lit(C.H2H_DEFAULT_GOALS)).alias("h2h_avg_goals"))
 
 
-def _expensive(df: DataFrame) -> bool:
-    """True when re-reading ``df`` means re-running joins or aggregates
-    (a master derived from raw tables); False for a plain scan of a
-    persisted table, which every branch can simply read again."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(op in plan for op in ("Join ", "Aggregate ", "Window ", "Union"))
-
-
 MASTER_FEATURE_COLS = ["date", "home_team", "away_team", "home_goals", "away_goals", "result", "is_incomplete",
                        "tournament", "tournament_tier", "neutral", "total_goals", "match_weight"]
 
 
 def build_features(master: DataFrame, shootouts: DataFrame | None = None, queries: DataFrame | None = None,
                    keys: list[str] | None = None, windows: list[int] | None = None,
-                   keep_cols: list[str] | None = None, materialize: bool | str = "auto") -> DataFrame:
+                   keep_cols: list[str] | None = None, materialize: bool = True) -> DataFrame:
     """The 45-column feature matrix for ``queries`` (default: complete
     matches of ``master``), looking back over the whole ``master``.
 
     Query rows that are not in ``master`` (fixtures to score) contribute no
     history: they only add their (team, date) to the daily tables.
+
+    ``materialize``: compute the (derived) master once into the shared
+    checkpoint folder; pass False for a persisted table, which every branch
+    can simply read again.
     """
     keys = keys or ["match_id"]
     windows = windows or C.FORM_WINDOWS
-    if materialize == "auto":
-        materialize = _expensive(master)
     if materialize:
         # Every branch below (two-sided log, form states, pair states,
         # queries) reads master: compute it once, narrow, and cut lineage
@@ -239,7 +233,8 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
     if queries is None:
         queries = complete_matches(master)
     keep = [c for c in (keep_cols or ["result", "match_weight"]) if c in queries.columns]
-    q = queries.select(*keys, "date", "home_team", "away_team", "neutral", "tournament", "tournament_tier", *keep)
+    q = queries.select(*dict.fromkeys([*keys, "date", "home_team", "away_team", "neutral", "tournament", "tournament_tier",
+                                       *keep]))
     qx = q if external else None
     states = side_features(team_day_states(master, shootouts, qx, keys, windows), windows)
     side_cols = [c for c in states.columns if c not in ("team", "date")]
@@ -257,7 +252,7 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
          .withColumn("form_5_diff", F.col("home_form_5") - F.col("away_form_5"))
          .withColumn("form_10_diff", F.col("home_form_10") - F.col("away_form_10"))
          .withColumn("experience_diff", F.col("home_team_experience") - F.col("away_team_experience")))
-    return j.select(*keys, "date", "home_team", "away_team", *keep, *feature_names(windows))
+    return j.select(*dict.fromkeys([*keys, "date", "home_team", "away_team", *keep, *feature_names(windows)]))
 
 
 def leak_audit(master: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -266,7 +261,7 @@ def leak_audit(master: DataFrame, keys: list[str] | None = None) -> DataFrame:
     count (must be 0) and the number of audited team-days."""
     keys = keys or ["match_id"]
     q = complete_matches(master)
-    st = team_day_states(master, None, q.select(*keys, "date", "home_team", "away_team"), keys)
+    st = team_day_states(master, None, q.select(*dict.fromkeys([*keys, "date", "home_team", "away_team"])), keys)
     return st.agg(
         F.count(F.when(F.col("last_match_date") >= F.col("date"), F.lit(1))).alias("violations"),
         F.count(F.lit(1)).alias("audited_team_days"))

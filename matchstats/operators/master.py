@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchstats.functions import scalar as S
 from matchstats.operators.goals import aggregate_goals
-from matchstats.operators.names import resolve_names, validate_dimension
+from matchstats.operators.names import normalise_dimension, resolve_names
 
 NATURAL_KEYS = ["date", "home_team", "away_team"]
 
@@ -41,14 +41,14 @@ def build_master(results: DataFrame, goals: DataFrame, shootouts: DataFrame, for
     """
     keys = keys or NATURAL_KEYS
     extra = [k for k in keys if k not in NATURAL_KEYS]
-    validate_dimension(former_names)  # one match per row: no fan-out in J1
-    res = resolve_names(results, former_names, ["home_team", "away_team"])
+    names = normalise_dimension(former_names)  # one match per row: no fan-out in J1
+    res = resolve_names(results, names, ["home_team", "away_team"], normalised=True)
     sht = shootouts
     if resolve_shootouts:
-        sht = resolve_names(sht, former_names, ["home_team", "away_team", "winner"])
+        sht = resolve_names(sht, names, ["home_team", "away_team", "winner"], normalised=True)
     # Rename + prune to the join key and two payload columns.
     sht = sht.select(*keys, F.col("winner").alias("shootout_winner"), "first_shooter")
-    gs = resolve_names(goals, former_names, ["home_team", "away_team", "team"])
+    gs = resolve_names(goals, names, ["home_team", "away_team", "team"], normalised=True)
     gagg = aggregate_goals(gs, keys)
     master = (res.join(sht, keys, "left")
               .join(gagg, keys, "left"))

@@ -2,50 +2,70 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchstats.functions.broadcast import checked_broadcast
+#: A name dimension is a small table of its own; more rows are refused.
+MAX_DIMENSION_ROWS = 100_000
+_DAY = dt.timedelta(days=1)
 
 
-def overlapping_intervals(dim: DataFrame) -> DataFrame:
-    """Rows of the name dimension whose [start, end] intervals overlap for
-    the same former name.  A resolvable dimension has none, which is what
-    makes one left join per column equal to the sequential rename."""
-    a, b = dim.alias("a"), dim.alias("b")
-    return a.join(
-        b,
-        (F.col("a.former") == F.col("b.former"))
-        & (F.col("a.start_date") <= F.col("b.end_date"))
-        & (F.col("b.start_date") <= F.col("a.end_date"))
-        & ((F.col("a.current") != F.col("b.current")) | (F.col("a.start_date") != F.col("b.start_date"))),
-    ).select(F.col("a.former"), F.col("a.current"), F.col("a.start_date"), F.col("a.end_date"))
+def normalise_dimension(dim: DataFrame) -> DataFrame:
+    """The dimension as disjoint intervals per former name, closed under
+    renaming, so that one left join equals applying its rows one after the
+    other in file order (a row sees the names that earlier rows gave).
 
+    Equal rows, equal starts, overlaps and chains Old -> Mid -> New are
+    resolved here, per former name and stretch of days between two interval
+    ends.  Rows with a NULL end, start or former name never match.
+    """
+    rows = [(r["former"], r["current"], r["start_date"], r["end_date"])
+            for r in dim.select("former", "current", "start_date", "end_date").limit(MAX_DIMENSION_ROWS + 1).collect()]
+    if len(rows) > MAX_DIMENSION_ROWS:
+        raise ValueError(f"a name dimension holds at most {MAX_DIMENSION_ROWS} rows")
+    rows = [r for r in rows if None not in (r[0], r[2], r[3]) and r[2] <= r[3]]
+    by_name: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        by_name.setdefault(r[0], []).append(i)
 
-def validate_dimension(dim: DataFrame) -> None:
-    """Raise if a former name has overlapping validity intervals, which
-    would make the range join match two rows and duplicate facts.  The
-    self join runs on the (small) dimension only."""
-    bad = overlapping_intervals(dim).limit(1).collect()
-    if bad:
-        r = bad[0]
-        raise ValueError(f"name dimension has overlapping intervals for '{r['former']}' "
-                         f"(e.g. {r['start_date']}..{r['end_date']} -> {r['current']})")
+    out = []
+    for former in by_name:
+        reach, open_names = set(), [former]
+        while open_names:  # rows that a chain from this name may use
+            for i in by_name.get(open_names.pop(), []):
+                if i not in reach:
+                    reach.add(i)
+                    open_names.append(rows[i][1])
+        order = sorted(reach)
+        cuts = sorted({d for i in order for d in (rows[i][2], rows[i][3] + _DAY if rows[i][3] < dt.date.max else None) if d})
+        for start, after in zip(cuts, [*cuts[1:], None]):
+            name = former
+            for i in order:
+                if rows[i][0] == name and rows[i][2] <= start <= rows[i][3]:
+                    name = rows[i][1]
+            end = after - _DAY if after else max(rows[i][3] for i in order)
+            if name != former and start <= end:
+                if out and out[-1][:2] == (former, name) and out[-1][3] + _DAY == start:
+                    out[-1] = (*out[-1][:3], end)
+                else:
+                    out.append((former, name, start, end))
+    return dim.sparkSession.createDataFrame(out, "former string, current string, start_date date, end_date date")
 
 
 def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col: str = "date",
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Replace ``name`` with ``current`` when ``name == former`` and
-    ``start_date <= date <= end_date`` (both ends inclusive); NULL dates and
-    unmatched names stay unchanged.
-
-    The dimension is small, so each column is a broadcast hash join on the
-    equality ``name == former`` with the interval as join condition: no
-    shuffle of the fact side, no nested loop.  Past ``max_broadcast_rows``
-    the join falls back to a shuffle join on ``former``.
+                  normalised: bool = False) -> DataFrame:
+    """Replace ``name`` as the dimension's rows do in file order: with
+    ``current`` when ``name == former`` and ``start_date <= date <= end_date``
+    (both ends inclusive); NULL dates and unmatched names stay unchanged.
+    A fact row matches one normalised interval at most, so none is doubled.
+
+    Each column is a hash join on ``name == former`` with the interval as join
+    condition; the dimension is bounded (``MAX_DIMENSION_ROWS``) and sent to
+    the facts.  ``normalised``: ``dim`` is a ``normalise_dimension`` result.
     """
-    d = dim.select("former", "current", "start_date", "end_date")
-    d = checked_broadcast(d, max_broadcast_rows)
+    d = dim if normalised else normalise_dimension(dim)
     out = df
     for i, c in enumerate(name_cols):
         r = d.select(
@@ -54,7 +74,7 @@ def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col:
         cond = ((F.col(c) == F.col(f"__former{i}"))
                 & (F.col(date_col) >= F.col(f"__start{i}"))
                 & (F.col(date_col) <= F.col(f"__end{i}")))
-        out = (out.join(r, cond, "left")
+        out = (out.join(F.broadcast(r), cond, "left")
                .withColumn(c, F.coalesce(F.col(f"__current{i}"), F.col(c)))
                .drop(f"__former{i}", f"__current{i}", f"__start{i}", f"__end{i}"))
     return out

@@ -23,9 +23,9 @@ def global_row_number(df: DataFrame, order_cols: list[str], out_col: str = "row_
                       num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (ties broken by
     the full key, which the caller makes unique)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    # without a number adaptive execution joins small range partitions
+    dealt = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ranged = cut_lineage(dealt.sortWithinPartitions(*order_cols))
     tagged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
         "__local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
@@ -68,10 +68,9 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
     a window per (partition, group) adds the local running sum.
     ``order_cols`` may hold Column expressions (e.g. ``F.col('s').desc()``).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in group_cols] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    dealt = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = cut_lineage(dealt.sortWithinPartitions(*keys))
     tagged = ranged.withColumn("__pid", F.spark_partition_id())
     totals = tagged.groupBy("__pid", *group_cols).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -305,6 +305,67 @@ def q_home_win_by_decade(spark, sf):
     return A.home_win_by_decade(_inp(spark, sf).master)
 
 
+@query("home_advantage_ends", """
+  WITH d AS (SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade,
+               avg(CAST(result = 'home_win' AS DOUBLE)) * 100.0 AS pct
+             FROM master_t WHERE result IS NOT NULL AND NOT neutral GROUP BY 1),
+  e AS (SELECT min(decade) AS first_decade, max(decade) AS last_decade, arg_min(pct, decade) AS first_pct,
+          arg_max(pct, decade) AS last_pct FROM d)
+  SELECT *, last_pct - first_pct AS change,
+    CASE WHEN last_pct > first_pct THEN 'up' WHEN last_pct < first_pct THEN 'down' ELSE 'flat' END AS direction FROM e""",
+       doubles=["first_pct", "last_pct", "change"])
+def q_home_advantage_ends(spark, sf):
+    """A10: first against last decade."""
+    return A.home_advantage_ends(_inp(spark, sf).master)
+
+
+@query("decades_present", "SELECT DISTINCT CAST(floor(year(date) / 10) * 10 AS INT) AS decade FROM master_t "
+                          "WHERE date IS NOT NULL")
+def q_decades_present(spark, sf):
+    """U4: decades."""
+    return A.decades_present(_inp(spark, sf).master)
+
+
+@query("teams_with_goals", "SELECT DISTINCT team FROM raw_goals WHERE team IS NOT NULL")
+def q_teams_with_goals(spark, sf):
+    """U4: teams with goals (names as given)."""
+    return A.teams_with_goals(_inp(spark, sf).goals)
+
+
+@query("top5_win_pct_any", f"SELECT * FROM ({_RECORDS_SQL}) ORDER BY win_pct DESC, team LIMIT 5", doubles=["win_pct"])
+def q_top5_win_pct_any(spark, sf):
+    """Top five by win %, without a minimum of matches."""
+    return A.team_records(_inp(spark, sf).master, KEYS).orderBy(F.col("win_pct").desc(), "team").limit(5)
+
+
+#: A name dimension with an equal row, an overlap, an equal start and a chain.
+_DIRTY_NAMES = [
+    ("UNION_A", "NATION_3", "1996-01-01", "1998-12-31"), ("UNION_A", "NATION_3", "1996-01-01", "1998-12-31"),
+    ("UNION_X", "NATION_3", "1998-06-01", "1999-12-31"), ("UNION_Y", "NATION_3", "1996-01-01", "1997-12-31"),
+    ("MID_7", "NATION_7", "1996-01-01", "1999-12-31"), ("NEW_7", "MID_7", "1997-01-01", "1998-12-31"),
+]
+
+
+def _dirty_names_sql() -> str:
+    """The rows one after the other, as nested projections."""
+    sql = "SELECT match_id, date, home_team, away_team FROM raw_matches"
+    for current, former, start, end in _DIRTY_NAMES:
+        cases = ", ".join(f"CASE WHEN {c} = '{former}' AND date BETWEEN DATE '{start}' AND DATE '{end}' "
+                          f"THEN '{current}' ELSE {c} END AS {c}" for c in ("home_team", "away_team"))
+        sql = f"SELECT match_id, date, {cases} FROM ({sql})"
+    return sql
+
+
+@query("resolve_names_dirty", _dirty_names_sql())
+def q_resolve_names_dirty(spark, sf):
+    """J1 with a dimension that needs normalising."""
+    dim = spark.createDataFrame(_DIRTY_NAMES, "current string, former string, start_date string, end_date string").select(
+        "current", "former", F.col("start_date").cast("date").alias("start_date"),
+        F.col("end_date").cast("date").alias("end_date"))
+    return resolve_names(_inp(spark, sf).results, dim, ["home_team", "away_team"]).select(
+        "match_id", "date", "home_team", "away_team")
+
+
 @query("avg_goals_by_decade",
        "SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade, avg(total_goals) AS avg_goals, count(*) AS n "
        "FROM master_t WHERE result IS NOT NULL AND total_goals IS NOT NULL GROUP BY 1", doubles=["avg_goals"])

@@ -13,17 +13,20 @@ from matchstats.plans.catalog import KEYS, _inp, query
 from matchstats.streaming.ingest import ingest_batch, run_ingest_stream, scratch_dir, validate_feed
 
 CUT = dt.date(2001, 1, 1)
+#: Files that the feed arrives in, one per micro-batch.
+STREAM_FILES = 8
 CUT_SQL = "DATE '2001-01-01'"
 
 _FEED = f"""
 feed AS (SELECT r.match_id, r.date, r.home_team, r.away_team, r.home_score, r.away_score, r.tournament,
            r.city, r.country, r.neutral, s.winner AS shootout_winner
          FROM raw_matches r LEFT JOIN raw_shootouts s ON s.match_id = r.match_id),
-vfeed AS (SELECT *, CASE WHEN home_score IS NULL OR away_score IS NULL THEN 'missing score'
-                         WHEN home_score < 0 OR away_score < 0 THEN 'Scores cannot be negative.'
-                         WHEN home_team = away_team THEN 'home_team and away_team must be different.'
+vfeed AS (SELECT *, CASE WHEN date IS NULL OR home_team IS NULL OR away_team IS NULL THEN 'missing_key'
+                         WHEN home_score IS NULL OR away_score IS NULL THEN 'missing_score'
+                         WHEN home_score < 0 OR away_score < 0 THEN 'negative_score'
+                         WHEN home_team = away_team THEN 'same_team'
                          WHEN home_score <> away_score AND shootout_winner IS NOT NULL
-                           THEN 'Shootout winner only valid when scores are equal.' END AS reason FROM feed)"""
+                           THEN 'winner_without_draw' END AS reason FROM feed)"""
 
 _NEW_ROWS = f"""
 SELECT match_id, date, home_team, away_team, home_score, away_score, tournament, city, country,
@@ -71,7 +74,7 @@ def q_ingest_batch(spark, sf):
 @query("stream_ingest", _ingest_sql())
 def q_stream_ingest(spark, sf):
     """R1 + R2 + R4 on Structured Streaming: the new results arrive as JSON
-    files, one file per month in *reverse* date order (late data), each
+    files in *reverse* date order (late data), each
     micro-batch is appended through foreachBatch; the final table must equal
     the batch ingest."""
     inp = _inp(spark, sf)
@@ -79,12 +82,8 @@ def q_stream_ingest(spark, sf):
     master_path, feed_dir = f"{work}/master", f"{work}/feed"
     inp.master.filter(F.col("date") < F.lit(CUT)).write.mode("overwrite").parquet(master_path)
     feed = _feed(spark, sf).filter(F.col("date") >= F.lit(CUT))
-    months = (feed.select(F.date_format("date", "yyyy-MM").alias("m")).distinct()
-              .orderBy(F.col("m").desc()))
-    # One folder per month, written newest first: the stream reads files in
-    # modification order, so older matches arrive after newer ones.
-    for (m,) in months.toLocalIterator():
-        feed.filter(F.date_format("date", "yyyy-MM") == m).coalesce(1).write.mode("overwrite").json(
-            f"{feed_dir}/month={m}")
-    run_ingest_stream(spark, f"{feed_dir}/*", master_path, work, KEYS)
+    # One write, ranged by date with the latest first: files hold stretches of
+    # days, and older matches arrive after newer ones.
+    feed.repartitionByRange(STREAM_FILES, F.col("date").desc()).write.mode("overwrite").json(feed_dir)
+    run_ingest_stream(spark, feed_dir, master_path, work, KEYS)
     return spark.read.parquet(master_path)

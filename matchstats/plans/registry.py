@@ -2,23 +2,8 @@
 
 from __future__ import annotations
 
+from matchstats.plans import catalog, catalog_eval, catalog_features, catalog_ingest, catalog_learn  # noqa: F401
+
 
 def all_queries():
-    from matchstats.plans import catalog  # noqa: F401
-    try:
-        from matchstats.plans import catalog_features  # noqa: F401
-    except ImportError:
-        pass
-    try:
-        from matchstats.plans import catalog_eval  # noqa: F401
-    except ImportError:
-        pass
-    try:
-        from matchstats.plans import catalog_ingest  # noqa: F401
-    except ImportError:
-        pass
-    try:
-        from matchstats.plans import catalog_learn  # noqa: F401
-    except ImportError:
-        pass
     return dict(catalog.REGISTRY)

@@ -13,9 +13,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "matchstats") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
-    On a cluster the caller's session already exists and ``getOrCreate``
-    returns it unchanged; these settings only shape local runs.
+    On a cluster the caller's session already exists and it is
+    returned unchanged; these settings only shape local runs.
     """
+    if (running := SparkSession.getActiveSession()) is not None:
+        ensure_checkpoint_dir(running)
+        return running
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or cpus

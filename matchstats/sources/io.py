@@ -6,6 +6,7 @@ or a missing file fails the job instead of silently producing NULLs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,7 @@ def read_scorer_source(spark: SparkSession, goal_csv: str | None, goals: DataFra
     if goal_csv:
         try:
             return spark.read.option("header", True).option("inferSchema", True).csv(goal_csv)
-        except Exception:  # noqa: BLE001 - absent optional file
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # only an absent file is optional
+                raise
     return goals

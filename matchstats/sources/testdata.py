@@ -14,8 +14,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchstats.functions.broadcast import checked_broadcast
-
 MATCH_KEYS = ["match_id"]
 
 # FIXED VALUES: tournament per order priority, and the name-history rows.
@@ -42,11 +40,9 @@ def derive_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row dimension; its size is checked once before
-    # it is broadcast (both roles reuse the checked, hinted frame).
-    nat = checked_broadcast(nation, max_rows=10_000)
-    hn = nat.toDF("hn_key", "home_team")
-    an = nat.toDF("an_key", "away_team")
+    # no hint: Spark broadcasts the dimension by the size of its files
+    hn = nation.toDF("hn_key", "home_team")
+    an = nation.toDF("an_key", "away_team")
     missing = F.col("o_orderkey") % 97 == 0
     tournament = F.lit(OTHER_TOURNAMENT)
     for prio, name in reversed(PRIORITY_TOURNAMENT):
@@ -75,7 +71,7 @@ def derive_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive_goals(spark: SparkSession, sf_dir: str, matches: DataFrame) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag").filter(F.col("l_partkey") % 3 == 0)
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
     m = matches.select("match_id", "date", "home_team", "away_team")
     return li.join(m, li.l_orderkey == m.match_id).select(
         "match_id", "date", "home_team", "away_team",
@@ -91,7 +87,7 @@ def derive_goals(spark: SparkSession, sf_dir: str, matches: DataFrame) -> DataFr
 
 def derive_shootouts(matches: DataFrame) -> DataFrame:
     mid = F.col("match_id")
-    return matches.filter((F.col("home_score") == F.col("away_score")) & (mid % 3 == 0)).select(
+    return matches.filter(F.col("home_score") == F.col("away_score")).select(
         "match_id", "date", "home_team", "away_team",
         F.when(mid % 2 == 0, F.col("home_team")).otherwise(F.col("away_team")).alias("winner"),
         F.when(mid % 5 < 2, F.col("home_team")).when(mid % 5 < 4, F.col("away_team")).alias("first_shooter"),
@@ -147,7 +143,6 @@ raw_goals AS (
     (l.l_returnflag = 'R' AND l.l_partkey % 10 = 0) AS own_goal,
     (l.l_returnflag = 'A' AND l.l_partkey % 7 = 0) AS penalty
   FROM lineitem l JOIN raw_matches m ON l.l_orderkey = m.match_id
-  WHERE l.l_partkey % 3 = 0
 )"""
 
 _RAW_SHOOTOUTS_SQL = """
@@ -156,7 +151,7 @@ raw_shootouts AS (
     CASE WHEN match_id % 2 = 0 THEN home_team ELSE away_team END AS winner,
     CASE WHEN match_id % 5 < 2 THEN home_team
          WHEN match_id % 5 < 4 THEN away_team ELSE NULL END AS first_shooter
-  FROM raw_matches WHERE home_score = away_score AND match_id % 3 = 0
+  FROM raw_matches WHERE home_score = away_score
 )"""
 
 _FORMER_NAMES_SQL = """

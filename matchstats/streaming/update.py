@@ -14,6 +14,7 @@ After a micro-batch is appended to the master table:
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +31,15 @@ def make_update_hook(shootouts: DataFrame | None, model_dir: str, log_path: str,
 
     def hook(spark: SparkSession, epoch_id: int, master_path: str) -> None:
         master = spark.read.parquet(master_path)
-        fm = L.prepare(build_features(master, shootouts, keys=keys), feats)
+        fm = L.prepare(build_features(master, shootouts, keys=keys, materialize=False), feats)
         rolling = None
         if state["model"] is None:
             try:  # a model saved by an earlier run (any Hadoop filesystem)
+                spark.read.text(f"{model_dir}/model/metadata")
                 state["model"] = L.load_model(model_dir)
-            except Exception:  # noqa: BLE001 - nothing saved yet
-                state["model"] = None
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":  # only an absent model is expected
+                    raise
         if state["model"] is not None:
             scored = L.score(state["model"], fm, model_name)
             rolling = E.rolling_accuracy(scored, ["date", *keys], C.UPDATER_LOG_WINDOW).first()["rolling_accuracy"]

@@ -6,7 +6,6 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from matchstats.functions.broadcast import checked_broadcast
 from matchstats.operators.asof import asof_strict
 from matchstats.operators.rownum import global_row_number, prefix_sums
 
@@ -33,14 +32,6 @@ def test_prefix_sums_match_pandas(spark):
     assert (pdf["cum_v"].values == exp.values).all()
 
 
-def test_checked_broadcast_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert "broadcast" in small.join(checked_broadcast(small, 100), "id")._jdf.queryExecution().optimizedPlan().toString().lower()
-    plan = big.join(checked_broadcast(big, 100), "id")._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert "strategy=broadcast" not in plan
-
-
 def test_asof_strict_same_day_and_ties(spark):
     D = dt.date
     states = spark.createDataFrame([

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchstats.functions import scalar as S
 from matchstats.operators.features import build_features
 from matchstats.operators.goals import aggregate_goals
-from matchstats.operators.names import overlapping_intervals, resolve_names
+from matchstats.operators.names import resolve_names
 from matchstats.operators import analytics as A
 from matchstats.streaming.ingest import validate_feed
 from tests.helpers import D, master_of, shootouts_of
@@ -82,7 +82,6 @@ def test_interval_ends(spark):
                                 (4, None, "OLD")], "id int, date date, team string")
     out = {r["id"]: r["team"] for r in resolve_names(df, dim, ["team"]).collect()}
     assert out == {1: "NEW", 2: "NEW", 3: "OLD", 4: "OLD"}
-    assert overlapping_intervals(dim).count() == 0
 
 
 def test_own_goal_and_null_scorer(spark):
@@ -115,10 +114,13 @@ def test_probability_tie(spark):
 
 def test_feed_rejects(spark):
     df = spark.createDataFrame([
-        (1, "A", "B", -1, 0, None), (2, "A", "A", 1, 0, None), (3, "A", "B", 2, 1, "A"), (4, "A", "B", 1, 1, "A"),
-    ], "match_id long, home_team string, away_team string, home_score int, away_score int, shootout_winner string")
+        (1, D(2001, 1, 1), "A", "B", -1, 0, None), (2, D(2001, 1, 1), "A", "A", 1, 0, None),
+        (3, D(2001, 1, 1), "A", "B", 2, 1, "A"), (4, D(2001, 1, 1), "A", "B", 1, 1, "A"),
+        (5, None, "A", "B", 1, 1, "A"), (6, D(2001, 1, 1), None, "B", 1, 1, "A"), (7, D(2001, 1, 1), "A", "B", None, 1, None),
+    ], "match_id long, date date, home_team string, away_team string, home_score int, away_score int, shootout_winner string")
     out = {r["match_id"]: (r["accepted"], r["reason"]) for r in validate_feed(df).collect()}
-    assert not out[1][0] and not out[2][0] and not out[3][0] and out[4] == (True, None)
+    assert out == {1: (False, "negative_score"), 2: (False, "same_team"), 3: (False, "winner_without_draw"), 4: (True, None),
+                   5: (False, "missing_key"), 6: (False, "missing_key"), 7: (False, "missing_score")}
 
 
 def test_trend_gap_rows_frame(spark):
@@ -166,10 +168,48 @@ def test_tier_accent_folding_option(spark):
     assert plain == [3, 1] and folded == [1, 1]
 
 
-def test_overlapping_name_intervals_rejected(spark):
-    from matchstats.operators.names import validate_dimension
-    dim = spark.createDataFrame([("X", "OLD", D(2000, 1, 1), D(2000, 12, 31)),
-                                 ("Y", "OLD", D(2000, 6, 1), D(2001, 12, 31))],
-                                "current string, former string, start_date date, end_date date")
-    with pytest.raises(ValueError, match="overlapping"):
-        validate_dimension(dim)
+def test_names_applied_in_file_order(spark):
+    """Equal rows, overlaps and chains resolve as row-by-row renaming does."""
+    import datetime as dt
+    d = dt.date
+    rows = [("B", "A", d(2000, 1, 1), d(2000, 12, 31)), ("B", "A", d(2000, 1, 1), d(2000, 12, 31)),
+            ("X", "A", d(2000, 6, 1), d(2001, 6, 30)), ("C", "B", d(2000, 3, 1), d(2000, 9, 30)),
+            ("A", "Z", d(2000, 1, 1), d(2002, 1, 1))]
+    dim = spark.createDataFrame(rows, "current string, former string, start_date date, end_date date")
+    days = [d(1999, 12, 31), d(2000, 1, 1), d(2000, 3, 1), d(2000, 7, 1), d(2000, 10, 1), d(2001, 1, 1), d(2001, 7, 1)]
+    facts = [(i, n, day) for i, (n, day) in enumerate((n, day) for n in "ABZQ" for day in days)]
+
+    def one(name, day):
+        for current, former, start, end in rows:
+            if name == former and start <= day <= end:
+                name = current
+        return name
+
+    got = resolve_names(spark.createDataFrame(facts, "i int, team string, date date"), dim, ["team"]).collect()
+    assert sorted((r["i"], r["team"]) for r in got) == [(i, one(n, day)) for i, n, day in facts]
+
+
+def test_natural_key_from_csv_to_outputs(spark, scratch):
+    """Features and head-to-head tables with the natural key can be written."""
+    from matchstats.operators.analytics import h2h_last_n
+    from matchstats.operators.features import build_features
+    from matchstats.plans.pipeline import csv_inputs
+    files = {
+        "results.csv": "date,home_team,away_team,home_score,away_score,tournament,city,country,neutral\n"
+                       "2001-01-01,A,B,1,0,Friendly,x,y,FALSE\n2001-02-01,B,A,2,2,Friendly,x,y,TRUE\n"
+                       "2001-03-01,A,B,0,3,Friendly,x,y,FALSE\n",
+        "goalscorers.csv": "date,home_team,away_team,team,scorer,minute,own_goal,penalty\n2001-01-01,A,B,A,p,3,FALSE,FALSE\n",
+        "shootouts.csv": "date,home_team,away_team,winner,first_shooter\n2001-02-01,B,A,B,NA\n",
+        "former_names.csv": "current,former,start_date,end_date\nC,D,1990-01-01,1991-01-01\n"}
+    import os
+    os.makedirs(f"{scratch}/csv")
+    for name, text in files.items():
+        with open(f"{scratch}/csv/{name}", "w") as f:
+            f.write(text)
+    inp = csv_inputs(spark, f"{scratch}/csv")
+    features = build_features(inp.master, inp.shootouts, keys=inp.keys)
+    features.write.parquet(f"{scratch}/features")
+    h2h_last_n(inp.master, keys=inp.keys).write.parquet(f"{scratch}/h2h")
+    assert spark.read.parquet(f"{scratch}/features").count() == 3
+    assert len(set(features.columns)) == len(features.columns) == 3 + 2 + 45
+    assert spark.read.parquet(f"{scratch}/h2h").count() == 3

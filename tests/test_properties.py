@@ -49,14 +49,3 @@ def test_h2h_shares_sum(inp):
 def test_record_identity(inp):
     r = A.team_records(inp.master, ["match_id"])
     assert r.filter(F.col("wins") + F.col("draws") + F.col("losses") != F.col("played")).count() == 0
-
-
-def test_materialize_only_derived_master(spark, inp, scratch):
-    from matchstats.operators.features import _expensive
-    assert _expensive(inp.master)
-    inp.master.write.parquet(f"{scratch}/m")
-    persisted = spark.read.parquet(f"{scratch}/m")
-    assert not _expensive(persisted)
-    a = build_features(persisted, inp.shootouts)
-    b = build_features(inp.master, inp.shootouts)
-    assert _rows(a) == _rows(b)

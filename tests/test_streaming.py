@@ -35,6 +35,13 @@ def test_stream_ingest_hook_log_and_replay(spark, scratch):
     assert len(seen) == 3 and seen[-1][1] == base + n_valid
     assert spark.read.json(out["log"]).count() == n_valid
     assert spark.read.json(out["rejects"]).count() == feed.count() - n_valid
+    # every epoch once more over the same work folder, as after a crash that
+    # came before its commit: nothing is doubled, and the log stays whole
+    run_ingest_stream(spark, f"{scratch}/feed/*", master_path, f"{scratch}/w1", ["match_id"],
+                      checkpoint_path=f"{scratch}/again")
+    assert spark.read.parquet(master_path).count() == base + n_valid
+    assert spark.read.json(out["log"]).count() == n_valid
+    assert spark.read.json(out["rejects"]).count() == feed.count() - n_valid
     # replay of the whole feed with a fresh stream checkpoint is a no-op
     run_ingest_stream(spark, f"{scratch}/feed/*", master_path, f"{scratch}/w2", ["match_id"])
     assert spark.read.parquet(master_path).count() == base + n_valid
