@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from matchstats.llm.wordtable import row_chunks, string_hashes
 
 #: Entries that a worker's memo may hold; beyond it the memo starts afresh.
-MEMO_ENTRIES = 2_000_000
+MEMO_ENTRIES = 800_000
 SAFE = "!-~À-ɏ"
 _UNSAFE = f" [^{SAFE}]|[^{SAFE}] |^ | $"
 _CUT = re.compile(f"(?<=[{SAFE}]) (?=[{SAFE}])")
@@ -181,13 +181,14 @@ _MEMOS: dict[str, Memo] = {}
 
 
 def memo(path: str) -> Memo:
-    """One memo per worker process and vocabulary file."""
+    """The worker process's memo; it holds one vocabulary at a time."""
     if path not in _MEMOS:
+        _MEMOS.clear()
         _MEMOS[path] = Memo(path)
     return _MEMOS[path]
 
 
-def text_slices(texts: pa.Array, most: int = 1 << 23):
+def text_slices(texts: pa.Array, most: int = 1 << 21):
     """(first row, slice) of runs of rows of about ``most`` bytes."""
     for a, b, _data, _off in row_chunks(texts, most):
         yield a, texts.slice(a, b - a)
