@@ -53,7 +53,7 @@ def words_column(text: Column) -> Column:
     """Words of a text.  ``lower`` also changes letters beyond A-Z, but only to
     letters, so words stay words; only the Kelvin sign would become an ASCII
     letter, and it is kept from that."""
-    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("å")))
+    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u00e5")))
     return F.array_remove(F.split(plain, _SPLIT, -1), "")
 
 

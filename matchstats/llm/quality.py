@@ -138,7 +138,9 @@ def judged(measured: DataFrame) -> DataFrame:
     shuffle, and the small side is left to the optimiser)."""
     base = F.coalesce(F.col("lang"), F.lit("")), F.length(F.bin("n_tokens"))
     m = measured.withColumns({"band_lang": base[0], "band_size": base[1]})
-    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias(f"q_{c}") for c in RATES]
+    # exact quartiles of rounded values: few distinct values per class, and the
+    # same bands whatever the order in which partial results meet
+    quartiles = [F.percentile(F.round(c, 3), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{c}") for c in RATES]
     bands = m.groupBy("band_lang", "band_size").agg(F.count("*").alias("band_n"), *quartiles)
     odd = F.lit(False)
     for c in RATES:
