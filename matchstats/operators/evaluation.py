@@ -39,55 +39,60 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
             .select("label", *[F.col(str(i)).cast("long").alias(f"pred_{i}") for i in range(3)]))
 
 
-def classification_report(scored: DataFrame) -> DataFrame:
-    """Precision, recall, f1, support per class plus macro / weighted
-    averages and accuracy; zero division -> 0.  Built from one aggregate of
-    per-class true-positive, predicted and support counts."""
+def _tallies(scored: DataFrame) -> DataFrame:
+    """One row of everything E2 and E3 need, from one pass over the scored
+    rows: per class the true positives ``tp``, predicted ``pp``, support
+    ``sup`` and the ratios made of them, and the log loss."""
     s = with_prediction(scored)
-    per = s.agg(*[
+    p_true = F.when(F.col("label") == 0, F.col("p_home")).when(F.col("label") == 1, F.col("p_draw")) \
+        .otherwise(F.col("p_away"))
+    norm = F.col("p_home") + F.col("p_draw") + F.col("p_away")
+    counts = s.agg(*[
         x for k in range(3) for x in (
             F.count(F.when((F.col("label") == k) & (F.col("prediction") == k), F.lit(1))).alias(f"tp{k}"),
             F.count(F.when(F.col("prediction") == k, F.lit(1))).alias(f"pp{k}"),
             F.count(F.when(F.col("label") == k, F.lit(1))).alias(f"sup{k}"))],
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
+        (-F.avg(F.log(F.least(F.greatest(p_true / norm, F.lit(EPS)), F.lit(1 - EPS))))).alias("log_loss"),
         F.count(F.lit(1)).alias("n"))
-    rows = []
-    for k, name in enumerate(C.RESULT_CLASSES):
-        prec = F.when(F.col(f"pp{k}") > 0, F.col(f"tp{k}") / F.col(f"pp{k}")).otherwise(0.0)
-        rec = F.when(F.col(f"sup{k}") > 0, F.col(f"tp{k}") / F.col(f"sup{k}")).otherwise(0.0)
-        f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-        rows.append(F.struct(F.lit(name).alias("class"), prec.alias("precision"), rec.alias("recall"),
-                             f1.alias("f1"), F.col(f"sup{k}").alias("support")))
-    per_class = per.select(F.explode(F.array(*rows)).alias("r"), "n").select("r.*", "n")
-    agg = per_class.agg(
-        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("wp"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("wr"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("wf"),
-        F.sum("support").alias("n"))
-    acc = s.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
-    summary = agg.select(F.explode(F.array(
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"), F.col("wr").alias("recall"),
-                 F.col("wf").alias("f1"), F.col("n").alias("support")),
-        F.struct(F.lit("accuracy").alias("class"), acc.alias("precision"), acc.alias("recall"),
-                 acc.alias("f1"), F.col("n").alias("support")))).alias("r")).select("r.*")
-    return per_class.drop("n").unionByName(summary)
+    ratios = counts.select("*", *[
+        x for k in range(3) for x in (
+            F.when(F.col(f"pp{k}") > 0, F.col(f"tp{k}") / F.col(f"pp{k}")).otherwise(0.0).alias(f"precision{k}"),
+            F.when(F.col(f"sup{k}") > 0, F.col(f"tp{k}") / F.col(f"sup{k}")).otherwise(0.0).alias(f"recall{k}"))])
+    return ratios.select("*", (F.col("sup0") + F.col("sup1") + F.col("sup2")).alias("support"), *[
+        F.when(F.col(f"precision{k}") + F.col(f"recall{k}") > 0,
+               2 * F.col(f"precision{k}") * F.col(f"recall{k}") / (F.col(f"precision{k}") + F.col(f"recall{k}")))
+        .otherwise(0.0).alias(f"f1{k}") for k in range(3)])
+
+
+def _macro(metric: str):
+    return (F.col(f"{metric}0") + F.col(f"{metric}1") + F.col(f"{metric}2")) / 3
+
+
+def _weighted(metric: str):
+    """Mean by support; NULL without rows."""
+    total = sum((F.col(f"{metric}{k}") * F.col(f"sup{k}") for k in range(1, 3)), F.col(f"{metric}0") * F.col("sup0"))
+    return F.when(F.col("support") > 0, total / F.col("support"))
+
+
+def classification_report(scored: DataFrame) -> DataFrame:
+    """Precision, recall, f1, support per class plus macro / weighted
+    averages and accuracy; zero division -> 0."""
+    metrics = ["precision", "recall", "f1"]
+
+    def row(name: str, of, support: str):
+        return F.struct(F.lit(name).alias("class"), *[of(m).alias(m) for m in metrics], F.col(support).alias("support"))
+
+    rows = [row(name, lambda m, k=k: F.col(f"{m}{k}"), f"sup{k}") for k, name in enumerate(C.RESULT_CLASSES)]
+    rows += [row("macro avg", _macro, "support"), row("weighted avg", _weighted, "support"),
+             row("accuracy", lambda m: F.col("accuracy"), "support")]
+    return _tallies(scored).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def summary_metrics(scored: DataFrame) -> DataFrame:
     """Accuracy, weighted F1, macro F1 and log loss in one row."""
-    rep = classification_report(scored)
-    wf = rep.filter(F.col("class") == "weighted avg").select("f1").scalar()
-    mf = rep.filter(F.col("class") == "macro avg").select("f1").scalar()
-    s = with_prediction(scored)
-    p_true = F.when(F.col("label") == 0, F.col("p_home")).when(F.col("label") == 1, F.col("p_draw")) \
-        .otherwise(F.col("p_away"))
-    norm = F.col("p_home") + F.col("p_draw") + F.col("p_away")
-    ll = -F.avg(F.log(F.least(F.greatest(p_true / norm, F.lit(EPS)), F.lit(1 - EPS))))
-    return s.agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
-                 ll.alias("log_loss"), F.count(F.lit(1)).alias("n")) \
-        .withColumn("f1_weighted", wf).withColumn("f1_macro", mf)
+    return _tallies(scored).select("accuracy", "log_loss", "n", _weighted("f1").alias("f1_weighted"),
+                                   _macro("f1").alias("f1_macro"))
 
 
 def calibration_bins(scored: DataFrame, n_bins: int = 10) -> DataFrame:

@@ -93,7 +93,7 @@ def shootout_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.lit(None).cast("string").alias("first_shooter"))
 
 
-def _finished(spark: SparkSession, path: str) -> bool:
+def finished(spark: SparkSession, path: str) -> bool:
     """Whether a Spark job has committed its output to ``path``."""
     try:
         spark.read.text(f"{path}/_SUCCESS")
@@ -114,8 +114,8 @@ def run_ingest_stream(spark: SparkSession, feed_dir: str, master_path: str, work
     ``master_path`` (anti-join on ``keys`` keeps replays idempotent);
     rejects and one log record per accepted match (R4 / S5) are written as
     JSON per epoch under ``work_dir``; with ``shootouts_path`` the shootouts
-    of new matches are appended to that table.  ``on_batch(spark, epoch_id, master_path)``
-    is the R3 hook (feature refresh / retrain) run after each batch.
+    of new matches are appended to that table.  ``on_batch(spark, epoch_id, master_path, rows)``
+    (rows: the batch's new master rows) is the R3 hook (feature refresh / retrain) run after each batch.
     Runs with the ``availableNow`` trigger and returns the output paths.
     """
     rejects_path = f"{work_dir}/rejects"
@@ -126,7 +126,7 @@ def run_ingest_stream(spark: SparkSession, feed_dir: str, master_path: str, work
         # first; a replay finds them and repeats the later steps, each of which
         # overwrites its own epoch's folder or appends only missing keys.
         staged = f"{work_dir}/staged/epoch={epoch_id}"
-        if not _finished(spark, staged):
+        if not finished(spark, staged):
             fresh, _ = new_master_rows(spark.read.parquet(master_path), batch, keys)
             fresh.write.mode("overwrite").parquet(staged)
         rows = spark.read.parquet(staged)
@@ -146,7 +146,7 @@ def run_ingest_stream(spark: SparkSession, feed_dir: str, master_path: str, work
             F.col("date").cast("string").alias("date"), "result")
         log.write.mode("overwrite").json(f"{log_path}/epoch={epoch_id}")
         if on_batch is not None:
-            on_batch(spark, epoch_id, master_path)
+            on_batch(spark, epoch_id, master_path, rows)
 
     stream = (spark.readStream.schema(NEW_MATCH_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
               .json(feed_dir))
