@@ -7,10 +7,16 @@ for each language and length class (the bits of the token count) the median
 and the quartiles of each measure over all documents; a document outside
 median +/- ``WIDTH`` robust deviations in any measure is rejected.
 
+Every document has a band.  A class of n rows weighs n against ``PRIOR_ROWS``
+rows of what its language says at other, near lengths, that against the language at
+all lengths, and that against all rows; so the bands change smoothly with the
+counts and no count turns the verdict off.  What few rows leave unknown about
+a language widens its bands by the spread between languages.
+
 Defined results: null and empty texts have no words, fail the base rules and
 are not kept; repeated rows are judged alike; a null language is a language of
-its own; a class of fewer than ``LEAST_IN_CLASS`` documents rejects nothing; an
-empty table gives an empty result; extra columns of the input are ignored.
+its own; a text that is alone in its table is the middle of its band; an empty
+table gives an empty result; extra columns of the input are ignored.
 Very long texts are measured whole.
 """
 
@@ -37,7 +43,10 @@ WINDOW = 3
 #: the least deviation that counts, for each measure.
 WIDTH = 7.0
 LEAST_SPREAD = {"chars_per_token": 0.03, "byte_share": 0.004, "entropy": 0.05}
-LEAST_IN_CLASS = 50
+#: Rows that a prior counts for (a quartile of twenty rows is known to a third
+#: of a deviation), and the weight of a length class by its distance.
+PRIOR_ROWS = 20
+NEAR = 0.25
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -132,26 +141,74 @@ def measure(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     return slim.mapInArrow(run, ddl)
 
 
+def bands(m: DataFrame) -> DataFrame:
+    """One row per language and length class: centre m_ and robust deviation
+    s_ of each measure.  All tables but the first are as small as the result."""
+    # exact quartiles of rounded values: few distinct values per class, and the
+    # same bands whatever the order in which partial results meet
+    quartiles = [F.percentile(F.round(c, 3), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{c}") for c in RATES]
+    centres = [F.col(f"q_{c}")[1].alias(f"m_{c}") for c in RATES]
+    spreads = [((F.col(f"q_{c}")[2] - F.col(f"q_{c}")[0]) / F.lit(1.349)).alias(f"s_{c}") for c in RATES]
+    classes = written(
+        m.rollup("band_size", "band_lang").agg(F.count("*").alias("n"), *quartiles).filter("band_size IS NOT NULL")
+        .select("band_size", "band_lang", "n", *centres, *spreads), "classes")
+    names = [f"{k}_{c}" for c in RATES for k in "ms"]
+    prior = F.lit(float(PRIOR_ROWS))
+    # a class is no prior of its own
+    apart = F.abs(F.col("band_size") - F.col("size_2"))
+    weight = F.when(apart > 0, F.col("n_2") * F.pow(F.lit(NEAR), apart)).otherwise(F.lit(0.0))
+
+    def second(df: DataFrame, columns: list[str]) -> DataFrame:
+        return df.select(*[c for c in ["band_lang"] if c in df.columns], F.col("band_size").alias("size_2"),
+                         F.col("n").alias("n_2"), *[F.col(c).alias(f"{c}_2") for c in columns])
+
+    # all rows by length
+    whole = classes.filter("band_lang IS NULL").drop("band_lang")
+    curve = (whole.crossJoin(second(whole, names)).groupBy("band_size", "n", *names)
+             .agg(*[F.coalesce(F.try_divide(F.sum(weight * F.col(f"{c}_2")), F.sum(weight)), F.col(c)).alias(f"{c}_near") for c in names])
+             .select("band_size", *[((F.col("n") * F.col(c) + prior * F.col(f"{c}_near")) / (F.col("n") + prior)).alias(f"{c}_all")
+                                    for c in names]))
+    own = classes.filter("band_lang IS NOT NULL").join(curve, "band_size").withColumns(
+        {f"d_{c}": F.col(f"m_{c}") - F.col(f"m_{c}_all") for c in RATES})
+    # languages: distance from all rows, and its spread between languages
+    langs = own.groupBy("band_lang").agg(F.sum("n").alias("n_lang"), *[F.sum(F.col("n") * F.col(f"d_{c}")).alias(f"t_{c}") for c in RATES])
+    known = F.col("n_lang") / (F.col("n_lang") + prior)
+    between = langs.agg(*[(F.sum(known * F.pow(F.col(f"t_{c}") / F.col("n_lang"), 2)) / F.sum(known)).alias(f"b_{c}") for c in RATES])
+    # near lengths of the language
+    local = [f"{k}_{c}" for c in RATES for k in "ds"]
+    near = own.join(second(own, local), "band_lang").groupBy("band_lang", "band_size").agg(
+        F.sum(weight).alias("w"), *[F.sum(weight * F.col(f"{c}_2")).alias(f"{c}_near") for c in local])
+    out = own.join(near, ["band_lang", "band_size"]).join(langs, "band_lang").crossJoin(between)
+
+    def mixed_in(x, p):
+        return (F.col("n") * x + prior * p) / (F.col("n") + prior)
+
+    columns = []
+    for c in RATES:
+        offset = (F.col(f"d_{c}_near") + prior * F.col(f"t_{c}") / (F.col("n_lang") + prior)) / (F.col("w") + prior)
+        spread = mixed_in(F.col(f"s_{c}"), (F.col(f"s_{c}_near") + prior * F.col(f"s_{c}_all")) / (F.col("w") + prior))
+        spread = F.greatest(spread, F.lit(LEAST_SPREAD[c]))
+        # all rows count this much in the centre, and so does their distance from the language
+        share = prior / (F.col("n") + prior) * prior / (F.col("w") + prior) * prior / (F.col("n_lang") + prior)
+        unknown = F.col(f"b_{c}") * share * share
+        columns += [F.round(mixed_in(F.col(f"m_{c}"), F.col(f"m_{c}_all") + offset), 6).alias(f"m_{c}"),
+                    F.round(F.sqrt(spread * spread + unknown), 6).alias(f"s_{c}")]
+    return out.select("band_lang", "band_size", *columns)
+
+
 def judged(measured: DataFrame) -> DataFrame:
     """Adds base_failed and kept.  Bands come from all measured rows: one row
     per language and length class, joined back (rows are combined before the
     shuffle, and the small side is left to the optimiser)."""
     base = F.coalesce(F.col("lang"), F.lit("")), F.length(F.bin("n_tokens"))
     m = measured.withColumns({"band_lang": base[0], "band_size": base[1]})
-    # exact quartiles of rounded values: few distinct values per class, and the
-    # same bands whatever the order in which partial results meet
-    quartiles = [F.percentile(F.round(c, 3), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q_{c}") for c in RATES]
-    bands = m.groupBy("band_lang", "band_size").agg(F.count("*").alias("band_n"), *quartiles)
     odd = F.lit(False)
     for c in RATES:
-        q = F.col(f"q_{c}")
-        spread = F.greatest((q[2] - q[0]) / F.lit(1.349), F.lit(LEAST_SPREAD[c]))
-        odd = odd | (F.abs(F.col(c) - q[1]) > F.lit(WIDTH) * spread)
+        odd = odd | (F.abs(F.col(c) - F.col(f"m_{c}")) > F.lit(WIDTH) * F.col(f"s_{c}"))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         F.lit(100) * F.col("n_repeat_words") > F.lit(MOST_REPEATED_PERCENT) * F.col("n_words"))
-    rejected = odd & (F.col("band_n") >= LEAST_IN_CLASS)
-    return (m.join(bands, ["band_lang", "band_size"])
-            .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~rejected))
+    return (m.join(written(bands(m), "bands"), ["band_lang", "band_size"])
+            .withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~odd))
 
 
 def quality_rules(docs: DataFrame, vocabulary_path: str) -> DataFrame:

@@ -281,6 +281,70 @@ def test_quality(docs, none):
     assert quality_rules(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
 
 
+def brute_bands(rows):
+    """Centre and deviation of each (lang, size, measure); rows: lang, size and the measures."""
+    from matchstats.llm.quality import LEAST_SPREAD, NEAR, PRIOR_ROWS as K, RATES
+    out = {}
+    for c in RATES:
+        def at(part):
+            a, b, d = np.percentile(part[c].round(3), [25, 50, 75])
+            return len(part), b, (d - a) / 1.349
+        alone = {s: at(p) for s, p in rows.groupby("size")}
+        every = {}
+        for s, (n, *v) in alone.items():
+            w = {z: alone[z][0] * NEAR ** abs(z - s) for z in alone if z != s} or {s: n}
+            every[s] = [(n * v[i] + K * sum(w[z] * alone[z][i + 1] for z in w) / sum(w.values())) / (n + K) for i in (0, 1)]
+        langs = {g: {s: at(q) for s, q in p.groupby("size")} for g, p in rows.groupby("lang")}
+        n_lang = {g: sum(v[0] for v in p.values()) for g, p in langs.items()}
+        total = {g: sum(n * (m - every[s][0]) for s, (n, m, _) in p.items()) for g, p in langs.items()}
+        known = {g: n / (n + K) for g, n in n_lang.items()}
+        between = sum(known[g] * (total[g] / n_lang[g]) ** 2 for g in langs) / sum(known.values())
+        for g, p in langs.items():
+            for s, (n, m, d) in p.items():
+                w = {z: p[z][0] * NEAR ** abs(z - s) for z in p if z != s}
+                offset = (sum(w[z] * (p[z][1] - every[z][0]) for z in w) + K * total[g] / (n_lang[g] + K)) / (sum(w.values()) + K)
+                spread = (sum(w[z] * p[z][2] for z in w) + K * every[s][1]) / (sum(w.values()) + K)
+                share = K / (n + K) * K / (sum(w.values()) + K) * K / (n_lang[g] + K)
+                spread = max((n * d + K * spread) / (n + K), LEAST_SPREAD[c])
+                out[g, s, c] = ((n * m + K * (every[s][0] + offset)) / (n + K), (spread**2 + between * share**2) ** 0.5)
+    return out
+
+
+def measured_rows():
+    """Regular rows of two languages, a rare language and a rare length, each with an odd row."""
+    rng, rows = np.random.default_rng(11), []
+
+    def put(lang, n_tokens, chars, entropy):
+        rows.append((len(rows), lang, 200, 0, n_tokens, chars + rng.normal(0, 0.02), abs(rng.normal(0.005, 0.002)), entropy + rng.normal(0, 0.05)))
+
+    for i in range(300):
+        put("en" if i % 3 else "de", int(rng.integers(128, 1024)), 3.0 if i % 3 else 2.8, 6.5)
+    for _ in range(7):
+        put(None, 300, 2.9, 6.5)
+        put("en", 5000, 3.0, 6.6)
+    odd = [len(rows) + i for i in range(4)]
+    put("en", 300, 1.0, 6.5), put(None, 300, 0.5, 6.5), put("en", 5000, 1.5, 6.5), put("de", 90000, 2.8, 2.0)
+    return rows, odd
+
+
+def test_quality_bands(spark):
+    from matchstats.llm.quality import RATES, WIDTH, judged
+    rows, odd = measured_rows()
+    ddl = "doc_id long, lang string, n_words long, n_repeat_words long, n_tokens long, " + ", ".join(f"{c} double" for c in RATES)
+    for part in (rows, rows[::3], [rows[i] for i in odd]):
+        got = {r.doc_id: r for r in judged(spark.createDataFrame(part, ddl)).collect()}
+        x = pd.DataFrame(part, columns=["doc_id", "lang", "words", "repeats", "n_tokens", *RATES]).fillna({"lang": ""})
+        x["size"] = [n.bit_length() for n in x.n_tokens]
+        band = brute_bands(x)
+        for r in x.itertuples():
+            at = [(getattr(r, c), *band[r.lang, r.size, c]) for c in RATES]
+            assert all(abs(m - got[r.doc_id][f"m_{c}"]) < 1e-5 and abs(s - got[r.doc_id][f"s_{c}"]) < 1e-5 for c, (_, m, s) in zip(RATES, at))
+            assert got[r.doc_id].kept == all(abs(v - m) <= WIDTH * s for v, m, s in at)
+    # classes of one to eight rows are judged too: the odd go, and only they
+    kept = {r.doc_id: r.kept for r in judged(spark.createDataFrame(rows, ddl)).collect()}
+    assert sorted(i for i, k in kept.items() if not k) == odd
+
+
 def test_toxicity(spark, none):
     from matchstats.llm.toxicity import toxicity
     rng = np.random.default_rng(5)
