@@ -23,6 +23,7 @@ Very long texts are measured whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +40,12 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 #: Words of a window that may repeat.
 WINDOW = 3
-#: Half width of a band in robust deviations (quartile distance / 1.349), and
-#: the least deviation that counts, for each measure.
-WIDTH = 7.0
+#: Share of regular texts (measures normal round their class's centre) that the
+#: bands may reject over all measures.  It gives the half width of a band in
+#: robust deviations (quartile distance / 1.349): 4.15.  Then the least deviation
+#: that counts, for each measure.
+FALSE_REJECTION = 1e-4
+WIDTH = NormalDist().inv_cdf(1 - FALSE_REJECTION / 2 / 3)
 LEAST_SPREAD = {"chars_per_token": 0.03, "byte_share": 0.004, "entropy": 0.05}
 #: Rows that a prior counts for (a quartile of twenty rows is known to a third
 #: of a deviation), and the weight of a length class by its distance.

@@ -345,6 +345,21 @@ def test_quality_bands(spark):
     assert sorted(i for i, k in kept.items() if not k) == odd
 
 
+def test_quality_band_width(spark):
+    """Regular rows stay at the stated rate; rows at five deviations go, on either side and in any measure."""
+    from matchstats.llm.quality import FALSE_REJECTION, RATES, judged
+    n, spread = 20_000, {"chars_per_token": 0.1, "byte_share": 0.01, "entropy": 0.2}
+    rng = np.random.default_rng(17)
+    x = pd.DataFrame({c: 3 + s * rng.normal(size=n) for c, s in spread.items()})
+    for i, (c, side) in enumerate((c, side) for c in RATES for side in (-1, 1)):
+        x.loc[i] = 3.0
+        x.loc[i, c] = 3 + side * 5 * spread[c]
+    x.insert(0, "doc_id", range(n))
+    d = spark.createDataFrame(x).selectExpr("*", "'en' AS lang", "200L AS n_words", "0L AS n_repeat_words", "300L AS n_tokens")
+    gone = {r.doc_id for r in judged(d).filter("NOT kept").select("doc_id").collect()}
+    assert gone >= set(range(6)) and len(gone) - 6 <= 4 * n * FALSE_REJECTION
+
+
 def test_toxicity(spark, none):
     from matchstats.llm.toxicity import toxicity
     rng = np.random.default_rng(5)
