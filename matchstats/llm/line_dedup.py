@@ -2,7 +2,10 @@
 
 A line of at least ``LEAST_WORDS`` words goes when an equal line, or one within
 one edit (a character put in, left out or replaced), stands earlier: in an
-earlier document by doc_id, or above it in the same one.
+earlier document by doc_id, or above it in the same one.  The bound grows with
+the line, by the words of the shorter of the two: from ``ONE_WORD`` words on a
+word may be put in, left out or replaced, from ``TWO_WORDS`` on two words may
+be replaced.
 
 Equal lines are one row: their first place.  Of those, lines that can be one
 edit apart share a half: with m the shorter length, the first or the last
@@ -15,6 +18,12 @@ all the others, and a key has at most one row per letter of the alphabet;
 no pairs within a key are made.  Each (witness, line) is then verified by its
 edit distance.
 
+One word is found in the same way, with words for characters.  Two replaced
+words leave a third of the line equal; lines that share one are cut into about
+sqrt(words) blocks and give a key for the line without each pair of blocks.
+Only for pairs of blocks that are shared do they give the keys of the line
+without one word of each, again with the earliest as witness for all.
+
 Defined results: a null text stays null; lines of fewer words always stay, so
 do blank ones; spaces round a line do not count; a repeated row (same doc_id
 and text) shares the fate of its copy; of rows with one doc_id the text's hash
@@ -23,6 +32,7 @@ decides; an empty table gives an empty result; all columns of the input stay.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +45,18 @@ from matchstats.llm.wordtable import mixed, position_powers, row_chunks
 
 #: Shorter lines are headings, list marks and the like, and stay.
 LEAST_WORDS = 5
+#: Words from which one word may differ, and two.
+ONE_WORD, TWO_WORDS = 20, 40
 
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACES = np.array([32, *range(9, 14)], np.uint32)
 _HALF = np.uint64(0x632BE59BD9B4E019)
 _REPLACED, _WHOLE = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03)
+_WORD_HALF, _THIRD = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
+_WORD_REPLACED, _WORD_WHOLE = np.uint64(0xD1342543DE82EF95), np.uint64(0xDA942042E4DD58B5)
+_BLOCKS, _TWO = np.uint64(0xB5026F5AA96619E9), np.uint64(0xC6BC279692B5CC83)
+#: Which keys a line shares: of its characters, for one word, for two.
+CHARACTER, WORD, WORDS = 1, 2, 4
 
 
 class Lines:
@@ -64,6 +82,7 @@ class Lines:
         at_end = at + words - 1
         self.start, self.end = first[at[keep]], last[at_end[keep]]
         self.row = row[at[keep]]
+        self.word_at, self.words, self.spans = at[keep], words[keep], (first, last)
         heads_all = ends - sizes
         base = np.where(heads_all > 0, breaks[np.maximum(heads_all - 1, 0)] if n else 0, 0)
         self.number = breaks[self.start] - base[self.row] if len(self.start) else self.start
@@ -92,11 +111,90 @@ class Lines:
                 out.append(mixed(self.raw(self.end - h, self.end) + _HALF * (m.astype(np.uint64) + np.uint64(1 << 40))))
         return np.stack(out, axis=1)
 
-    def neighbourhood(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(line, role, key): role 0 replacement keys, 1 the whole line, 2 the
-        line less one character."""
-        n = self.end - self.start
-        line = np.repeat(np.arange(len(n)), n)
+    def count_words(self) -> None:
+        """Prefix sums over the words of all lines."""
+        first, last = self.spans
+        n = len(first)
+        with np.errstate(over="ignore"):
+            h = mixed(self.raw(first, last) + (last - first).astype(np.uint64))
+            self.word_total = np.zeros(n + 1, np.uint64)
+            np.cumsum(h * position_powers(n)[1][:n], out=self.word_total[1:])
+
+    def raw_words(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (self.word_total[end] - self.word_total[start]) * self.inverse[start]
+
+    def parts(self) -> np.ndarray:
+        """Seven keys per line, 0 for none: halves in words as ``halves`` (for
+        one word), and thirds (for two)."""
+        s, n = self.word_at, self.words
+        e, t, out = s + n, n // 3, []
+        with np.errstate(over="ignore"):
+            for m in (n, n - 1):
+                h = (m - 1) // 2
+                out.append(mixed(self.raw_words(s, s + h) + _WORD_HALF * m.astype(np.uint64)))
+                out.append(mixed(self.raw_words(e - h, e) + _WORD_HALF * (m.astype(np.uint64) + np.uint64(1 << 40))))
+            for k, (a, b) in enumerate([(s, s + t), (s + t, s + 2 * t), (s + 2 * t, e)]):
+                out.append(mixed(self.raw_words(a, b) + _THIRD * (n.astype(np.uint64) + np.uint64(k << 40))))
+        keys = np.stack(out, axis=1)
+        keys[n < ONE_WORD, :4], keys[n < TWO_WORDS, 4:] = 0, 0
+        return keys
+
+    def word_neighbourhood(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``neighbourhood``, with words for characters; from ``TWO_WORDS``
+        words on the keys for two words find a replaced one."""
+        n = self.words[pick]
+        line = np.repeat(pick, n)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
+        s = self.word_at[line]
+        e = s + self.words[line]
+        with np.errstate(over="ignore"):
+            power = position_powers(int(n.max()) + 1 if len(n) else 1)[1]
+            less = self.raw_words(s, s + place) + self.raw_words(s + place + 1, e) * power[place]
+            size = (e - s).astype(np.uint64)
+            replaced = mixed(less + _WORD_REPLACED * (place.astype(np.uint64) + np.uint64(1)) + size)
+            shorter = mixed(less + _WORD_WHOLE * size)
+            whole = mixed(self.raw_words(self.word_at[pick], self.word_at[pick] + n) + _WORD_WHOLE * (n.astype(np.uint64) + np.uint64(1)))
+        one = self.words[line] < TWO_WORDS
+        return (np.concatenate([line[one], pick, line]), np.repeat([0, 1, 2], [one.sum(), len(pick), len(line)]),
+                np.concatenate([replaced[one], whole, shorter]))
+
+    def _without(self, i: int, a: np.ndarray, b: np.ndarray, salt: np.uint64, bounds: np.ndarray) -> np.ndarray:
+        """Keys of line i without its spans a and b (numbers in bounds); other words keep their places."""
+        s, n = int(self.word_at[i]), int(self.words[i])
+        with np.errstate(over="ignore"):
+            sums = (self.word_total[s + bounds] - self.word_total[s]) * self.inverse[s]
+            span = np.diff(sums)
+            rest = sums[-1] - span[a] - np.where(a == b, np.uint64(0), span[b])
+            return mixed(rest + salt * (a.astype(np.uint64) * np.uint64(1 << 32) + b.astype(np.uint64) + np.uint64(1)) + np.uint64(n))
+
+    def _blocks(self, i: int) -> np.ndarray:
+        n = int(self.words[i])
+        return np.unique(np.append(np.arange(0, n, int(n**0.5)), n))
+
+    def block_keys(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(block, block, key) of line i without each pair of blocks, or one."""
+        bounds = self._blocks(i)
+        a, b = np.triu_indices(len(bounds) - 1)
+        return a, b, self._without(i, a, b, _BLOCKS, bounds)
+
+    def two_word_keys(self, i: int, pairs: list[tuple[int, int]]) -> np.ndarray:
+        """Keys of line i without two words, one of each block of a pair."""
+        bounds, at = self._blocks(i), []
+        for a, b in pairs:
+            x, y = np.meshgrid(np.arange(bounds[a], bounds[a + 1]), np.arange(bounds[b], bounds[b + 1]), indexing="ij")
+            at.append(np.stack([x[x < y], y[x < y]]))
+        x, y = np.concatenate(at, axis=1)
+        return self._without(i, x, y, _TWO, np.arange(int(self.words[i]) + 1))
+
+    def neighbourhood(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, role, key) of the lines ``pick``: role 0 replacement keys, 1
+        the whole line, 2 the line less one character.  In lines of more than
+        ``ONE_WORD`` words the latter only for spaces: with a letter put in,
+        the shorter line has ``ONE_WORD`` words at least, and one word of the
+        longer is put in or replaced."""
+        n = (self.end - self.start)[pick]
+        line = np.repeat(pick, n)
         place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
         s, e = self.start[line], self.end[line]
         with np.errstate(over="ignore"):
@@ -105,10 +203,10 @@ class Lines:
             size = (e - s).astype(np.uint64)
             replaced = mixed(less + _REPLACED * (place.astype(np.uint64) + np.uint64(1)) + size)
             shorter = mixed(less + _WHOLE * size)
-            whole = mixed(self.raw(self.start, self.end) + _WHOLE * (n.astype(np.uint64) + np.uint64(1)))
-        own = np.arange(len(n))
-        return (np.concatenate([line, own, line]), np.repeat([0, 1, 2], [len(line), len(own), len(line)]),
-                np.concatenate([replaced, whole, shorter]))
+            whole = mixed(self.raw(self.start[pick], self.end[pick]) + _WHOLE * (n.astype(np.uint64) + np.uint64(1)))
+            put_in = (self.words[line] <= ONE_WORD) | np.isin(self.points[s + place], _SPACES)
+        return (np.concatenate([line, pick, line[put_in]]), np.repeat([0, 1, 2], [len(line), len(pick), put_in.sum()]),
+                np.concatenate([replaced, whole, shorter[put_in]]))
 
     def texts(self) -> list[str]:
         return [self.points[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(self.start, self.end)]
@@ -123,22 +221,26 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def line_places(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, line (its number), h (its hash), halves: a row per line."""
+    """doc_id, tkey, line (its number), h (its hash), words, halves (and the
+    parts behind them): a row per line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, _data, _off in row_chunks(batch.column("text")):
                 x = Lines(batch.column("text").slice(a, b - a).to_pylist())
                 rows = pa.array(x.row + a)
-                halves = pa.FixedSizeListArray.from_arrays(_signed(x.halves().reshape(-1)), 4)
+                x.count_words()
+                shared = np.concatenate([x.halves(), x.parts()], axis=1)
+                halves = pa.FixedSizeListArray.from_arrays(_signed(shared.reshape(-1)), shared.shape[1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(rows), batch.column("tkey").take(rows), pa.array(x.number, pa.int64()),
-                     _signed(x.hashes()), halves.cast(pa.list_(pa.int64()))], ["doc_id", "tkey", "line", "h", "halves"])
+                     _signed(x.hashes()), pa.array(x.words, pa.int32()), halves.cast(pa.list_(pa.int64()))],
+                    ["doc_id", "tkey", "line", "h", "words", "halves"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, tkey long, line long, h long, halves array<long>")
+    return _keyed(docs).mapInArrow(run, "doc_id long, tkey long, line long, h long, words int, halves array<long>")
 
 
 def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h, place and text of the wanted lines (h, place), read once more."""
+    """rank, h, kinds and text of the wanted lines (h, place, kinds, rank), read once more."""
     bits_of = bitmap_of(wanted, "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,49 +258,119 @@ def line_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     found = _keyed(docs).mapInArrow(run, "doc_id long, tkey long, line long, h long, line_text string")
     place = F.struct("doc_id", "tkey", "line")
-    return found.select("h", place.alias("place"), "line_text").join(wanted, ["h", "place"], "left_semi").dropDuplicates(["h"])
+    return found.select("h", place.alias("place"), "line_text").join(wanted, ["h", "place"]).dropDuplicates(["h"]).select(
+        "rank", "h", "kinds", "line_text")
 
 
 def neighbourhood_keys(lines: DataFrame) -> DataFrame:
-    """h, place, role and key of every deletion variant of the lines."""
+    """key and code (4 * rank + role) of every deletion variant of the lines:
+    less a character, and less a word, for the lines whose kinds say so."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            kinds, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("kinds", "rank"))
             for a, b, _data, _off in row_chunks(batch.column("line_text"), 1 << 17):
                 x = Lines(batch.column("line_text").slice(a, b - a).to_pylist())
-                line, role, key = x.neighbourhood()
-                rows = pa.array(x.row[line] + a)
+                x.count_words()
+                mine = kinds[x.row + a]
+                for line, role, key in (x.neighbourhood(np.flatnonzero(mine & CHARACTER)),
+                                        x.word_neighbourhood(np.flatnonzero(mine & WORD))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(4 * rank[x.row[line] + a] + role, pa.int64()), _signed(key)], ["code", "key"])
+
+    return lines.select("rank", "kinds", "line_text").mapInArrow(run, "code long, key long")
+
+
+def two_word_keys(lines: DataFrame) -> DataFrame:
+    """rank and key of the lines without two words, for pairs of blocks
+    without which a line equals another."""
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, _data, _off in row_chunks(batch.column("line_text"), 1 << 17):
+                x = Lines(batch.column("line_text").slice(a, b - a).to_pylist())
+                x.count_words()
+                got = [x.block_keys(i) for i in range(len(x.words))]
+                rows = pa.array(np.repeat(x.row + a, [len(g[0]) for g in got]))
+                pair = np.concatenate([g[0] << 32 | g[1] for g in got])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("h").take(rows), batch.column("place").take(rows), pa.array(role, pa.int32()),
-                     _signed(key)], ["h", "place", "role", "key"])
+                    [batch.column("rank").take(rows), pa.array(pair, pa.int64()), _signed(np.concatenate([g[2] for g in got]))],
+                    ["rank", "pair", "key"])
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, _data, _off in row_chunks(batch.column("line_text"), 1 << 17):
+                x = Lines(batch.column("line_text").slice(a, b - a).to_pylist())
+                x.count_words()
+                pairs = batch.column("pairs").slice(a, b - a).to_pylist()
+                for i, r in enumerate(x.row):
+                    key = x.two_word_keys(i, [(p >> 32, p & 0xFFFFFFFF) for p in pairs[r]])
+                    rows = pa.array(np.full(len(key), r + a))
+                    yield pa.RecordBatch.from_arrays([batch.column("rank").take(rows), _signed(key)], ["rank", "key"])
+
+    by_key = Window.partitionBy("key")
+    keys = lines.select("rank", "line_text").mapInArrow(blocks, "rank long, pair long, key long")
+    shared = (keys.withColumn("lo", F.min("rank").over(by_key)).withColumn("hi", F.max("rank").over(by_key))
+              .filter("lo != hi").groupBy("rank").agg(F.collect_list("pair").alias("pairs")))
+    return lines.select("rank", "line_text").join(shared, "rank").mapInArrow(words, "rank long, key long")
 
-    ddl = "h long, place struct<doc_id: long, tkey: long, line: long>, role int, key long"
-    return lines.select("h", "place", "line_text").mapInArrow(run, ddl)
+
+def words_apart(x: str, y: str) -> bool:
+    """Within the bound in words of lines x and y."""
+    a, b = sorted((_WORDS.findall(x), _WORDS.findall(y)), key=len)
+    if len(a) < ONE_WORD or len(b) - len(a) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(u != v for u, v in zip(a, b)) <= (1 if len(a) < TWO_WORDS else 2)
+    at = next((i for i, (u, v) in enumerate(zip(a, b)) if u != v), len(a))
+    return a[at:] == b[at + 1:]
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """h of the distinct lines within one edit of an earlier line."""
+    """h of the distinct lines within the bound of an earlier line."""
     shared = Window.partitionBy("half")
-    halves = distinct.select(F.explode(F.array_distinct("halves")).alias("half"), "h")
+    kind = F.when(F.col("pos") < 4, CHARACTER).when(F.col("pos") < 8, WORD).otherwise(WORDS)
+    halves = (distinct.select("h", "words", F.posexplode("halves").alias("pos", "half")).filter("half != 0")
+              .select("h", "words", "half", kind.alias("kind")))
+    # of two lines of as many words, ONE_WORD at least, that differ in a
+    # character all words but one are equal: their word keys find them; so do
+    # from TWO_WORDS words on those for two words, if one is replaced
+    kept_counts = {CHARACTER: F.col("words") <= ONE_WORD, WORD: F.col("words") < TWO_WORDS, WORDS: F.lit(True)}
+    needed = F.min("words").over(shared) != F.max("words").over(shared)
+    for k, same_count in kept_counts.items():
+        needed = needed | ((F.col("kind") == k) & same_count)
     candidates = (halves.withColumn("lo", F.min("h").over(shared)).withColumn("hi", F.max("h").over(shared))
-                  .filter("lo != hi").select("h").distinct())
-    wanted = written(distinct.join(candidates, "h", "left_semi").select("h", "place"), "line-candidates")
+                  .withColumn("needed", needed).filter("lo != hi AND needed").groupBy("h").agg(F.bit_or("kind").alias("kinds")))
+    # rank: one number in the order of places, so that the many keys carry no more
+    order = ["place.doc_id", "place.tkey", "place.line"]
+    wanted = written(distinct.join(candidates, "h").select("h", "place", "kinds").repartitionByRange(*order)
+                     .sortWithinPartitions(*order).withColumn("rank", F.monotonically_increasing_id()), "line-candidates")
     lines = written(line_texts(docs, wanted), "line-texts")
     keys = neighbourhood_keys(lines)
     by_key = Window.partitionBy("key")
-    # the earliest line of a replacement key is within one edit of all the others
-    replaced = (keys.filter("role = 0").withColumn("w", F.min(F.struct("place", "h")).over(by_key))
-                .filter(F.col("w")["h"] != F.col("h")).select("h", F.col("w")["h"].alias("witness")))
-    whole = keys.filter("role = 1").select("key", F.col("h").alias("a"), F.col("place").alias("pa"))
-    less = keys.filter("role = 2").select("key", F.col("h").alias("b"), F.col("place").alias("pb"))
-    # rows of one key here: one whole line, and lines with one more character
-    put_in = whole.join(less, "key").select(
-        F.when(F.col("pa") < F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("h"),
-        F.when(F.col("pa") < F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("witness"))
-    pairs = replaced.union(put_in).filter("h != witness").distinct()
-    text = lines.select("h", F.col("line_text").alias("x"))
-    other = lines.select(F.col("h").alias("witness"), F.col("line_text").alias("y"))
-    return pairs.join(text, "h").join(other, "witness").filter(
-        F.levenshtein("x", "y", 1).between(0, 1)).select("h").distinct()
+
+    role = F.col("code").bitwiseAND(F.lit(3))
+
+    def first(r: int) -> F.Column:
+        return F.min(F.when(role == r, F.col("code"))).over(by_key)
+
+    # the earliest line of a replacement key is within the bound of all the
+    # others; so are a line and all those with one character or word more
+    single = (keys.withColumn("w", F.when(role == 0, first(0)).when(role == 1, first(2)).otherwise(first(1)))
+              .select(F.shiftright("code", 2).alias("rank"), F.shiftright("w", 2).alias("witness")))
+    double = two_word_keys(lines.filter(F.col("kinds").bitwiseAND(F.lit(WORDS)) != 0)).withColumn(
+        "witness", F.min("rank").over(by_key)).select("rank", "witness")
+    pairs = single.union(double).filter("witness < rank").distinct()
+    text = lines.select("rank", "h", F.col("line_text").alias("x"))
+    other = lines.select(F.col("rank").alias("witness"), F.col("line_text").alias("y"))
+    compared = pairs.join(text, "rank").join(other, "witness").select(
+        "h", "x", "y", F.levenshtein("x", "y", 1).between(0, 1).alias("near"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("near", "x", "y")))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h").filter(pa.array([near or words_apart(x, y) for near, x, y in rows], pa.bool_()))], ["h"])
+
+    return compared.mapInArrow(run, "h long").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -206,11 +378,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     n_lines and n_dropped (lines of enough words, and those dropped)."""
     ship_code(docs.sparkSession)
     places = line_places(docs)
-    place = F.struct("doc_id", "tkey", "line", "halves")
+    place = F.struct("doc_id", "tkey", "line", "words", "halves")
     distinct = written(
         places.groupBy("h").agg(F.min(place).alias("first"))
         .select("h", F.struct("first.doc_id", "first.tkey", "first.line").alias("place"),
-                F.col("first.halves").alias("halves")), "lines")
+                F.col("first.words").alias("words"), F.col("first.halves").alias("halves")), "lines")
     kept = distinct.select("h", "place").join(near_lines(docs, distinct), "h", "left_anti")
     per_doc = kept.groupBy(F.col("place.doc_id").alias("k_doc"), F.col("place.tkey").alias("k_key")).agg(
         F.collect_list("place.line").alias("kept_lines"))

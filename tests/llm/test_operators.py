@@ -203,6 +203,66 @@ def test_line_dedup(spark, docs, none):
     assert dedup_lines(docs).count() == len(sample_rows()) and dedup_lines(none).count() == 0
 
 
+def test_line_dedup_bound_grows(spark):
+    """Lines of 10, 19 to 23, 39 to 42 and 70 words with words put in, left out, replaced and moved."""
+    from matchstats.llm.line_dedup import dedup_lines
+
+    def within(a, b):
+        a, b = sorted((a.split(), b.split()), key=len)
+        bound = (len(a) >= 20) + (len(a) >= 40)
+        if len(a) == len(b):
+            return bound > 0 and sum(u != v for u, v in zip(a, b)) <= bound
+        return bound > 0 and len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    rng, texts = np.random.default_rng(23), []
+    vocabulary = [f"word{i}" for i in range(500)]
+    for n in (10, 19, 20, 21, 22, 39, 40, 41, 70):
+        root = list(rng.choice(vocabulary, n))
+        for _ in range(25):
+            words = list(root)
+            for _ in range(int(rng.integers(0, 4))):
+                i, act = int(rng.integers(len(words))), rng.integers(6)
+                if act < 4:
+                    words[i] = rng.choice(vocabulary)
+                elif act == 4:
+                    words.insert(i, rng.choice(vocabulary))
+                else:
+                    del words[i]
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    long = " ".join(rng.choice(vocabulary, 60))
+    texts += [long, long.replace(" ", "x ", 1)[:-1] + "X", long.replace("word", "w\u00f6rd", 2)]  # letters in two words
+    seen, want = [], {}
+    for i, t in enumerate(texts):
+        want[i] = int(any(t == x or edit_one(t, x) or within(t, x) for x in seen))
+        seen.append(t)
+    assert [want[len(texts) - k] for k in (3, 2, 1)] == [0, 1, 1]
+    got = dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == want
+
+
+def test_line_dedup_one_character(spark):
+    """Any character of lines round the word bounds replaced, put in or left out, spaces and letters."""
+    from matchstats.llm.line_dedup import dedup_lines
+    rng, texts = np.random.default_rng(29), []
+    for n in (5, 18, 19, 20, 21, 22, 40, 45):
+        for _ in range(3):
+            root = " ".join("".join(rng.choice(list("abcde"), int(rng.integers(1, 5)))) for _ in range(n))
+            texts.append(root)
+            for i in rng.choice(np.arange(1, len(root) - 1), 8, replace=False):
+                texts += [root[:i] + c + root[i + k:] for c in " xa\t" for k in (0, 1)] + [root[:i] + root[i + 1:]]
+    order = rng.permutation(len(texts))
+    seen, sure, got = [], {}, {}
+    for d, i in enumerate(order):
+        words = len(SPACE.findall(texts[i]))
+        sure[d] = words >= 5 and any(texts[i] == x or edit_one(texts[i], x) for x in seen)
+        seen += [texts[i]] if words >= 5 else []
+    rows = [(d, texts[i]) for d, i in enumerate(order)]
+    got = {r.doc_id: r.n_dropped for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(got[d] == 1 for d, s in sure.items() if s)  # every one-character copy goes, whatever finds it
+    assert all(got[d] == s for d, s in sure.items() if len(SPACE.findall(rows[d][1])) < 20)
+
+
 @pytest.mark.parametrize(("n", "num"), [(3, 90), (5, 80)])
 def test_ngram_components(spark, docs, none, n, num):
     from matchstats.llm.ngram_join import ngram_components
