@@ -77,7 +77,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Bands from token statistics, one-edit lines and similarity joins have no SQL
+#: Bands from token statistics, near lines and similarity joins have no SQL
 #: form; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 

@@ -420,6 +420,75 @@ def test_quality_band_width(spark):
     assert gone >= set(range(6)) and len(gone) - 6 <= 4 * n * FALSE_REJECTION
 
 
+def test_pipeline_stages_take_effect(spark, scratch):
+    """run() and its stages against brute force: copies, near copies, null doc_ids and benchmark passages."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    rng = np.random.default_rng(31)
+    vocabulary = [f"{w}{i}" for w in ("stone", "river", "garden", "number") for i in range(60)]
+
+    def text(n):
+        return " ".join(rng.choice(vocabulary, n))
+
+    passage, texts = text(40), [f"{text(150)}\n{text(30)}" for _ in range(30)]
+    near = texts[3].split(" ")
+    for k in (20, 60, 100):
+        near[k] = "changed"
+    texts += [texts[0], " ".join(near), f"{text(100)} {passage} {text(60)}", f"{text(150)}\n{texts[5].split(chr(10))[1]}",
+              "too short to keep", "a b c " * 60]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    rows += [rows[7], (None, f"{text(150)}\n{text(30)}", "en", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(1, passage), (2, text(20))], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+
+    def quality(docs):
+        def good(t):
+            w = t.split()
+            windows = [tuple(w[i: i + 3]) for i in range(len(w) - 2)]
+            inside = {j for i, k in enumerate(windows) if windows.count(k) > 1 for j in (i, i + 1, i + 2)}
+            return len(w) >= 50 and 100 * len(inside) <= 50 * len(w)
+        return [r for r in docs if good(r[1])]
+
+    def lines(docs):
+        seen, fate, out = set(), {}, []
+        for r in sorted(docs, key=lambda r: -1 if r[0] is None else r[0]):
+            if r[:2] not in fate:
+                kept = [s for s in r[1].split("\n") if s not in seen]
+                seen |= set(r[1].split("\n"))
+                fate[r[:2]] = "\n".join(kept)
+            t = fate[r[:2]]
+            out.append((r[0], t, *r[2:4], r[4] if t == r[1] else len(t)))
+        return out
+
+    def groups(docs):
+        def shingles(t):
+            w = t.split()
+            return {tuple(w[i: i + 5]) for i in range(len(w) - 4)}
+        out, taken = [], []
+        for r in sorted(set(docs), key=lambda r: -1 if r[0] is None else r[0]):
+            s = shingles(r[1])
+            if not s or not any(100 * len(s & z) >= 80 * len(s | z) for z in taken):
+                out.append(r)
+            taken.append(s)
+        return out
+
+    def clean(docs):
+        return [r for r in docs if passage not in r[1]]
+
+    want, got = rows, spark.read.parquet(f"{scratch}/documents.parquet")
+    for (name, stage), brute in zip(corpus_pipeline.STAGES, (quality, lines, groups, clean)):
+        before, want = want, brute(want)
+        got = spark.createDataFrame(stage(spark, got, scratch).collect(), schema)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str), name
+        assert want != before, name  # each stage has something to do
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = corpus_pipeline.run(spark, scratch).toPandas()
+    sizes = sorted((str(r[0]), len(tok.encode(r[1], add_special_tokens=False).ids) + 1) for r in want)
+    found = packed.fillna({"doc_id": -1}).groupby("doc_id").length.sum()
+    assert sorted(("None" if d < 0 else str(int(d)), int(n)) for d, n in found.items()) == sizes
+
+
 def test_toxicity(spark, none):
     from matchstats.llm.toxicity import toxicity
     rng = np.random.default_rng(5)
