@@ -32,7 +32,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     read it back, so that a lost executor costs a re-read, not a recompute."""
     path = work_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove the work table that ``written`` made for ``df``; nothing may read
+    it any more."""
+    spark, path = df.sparkSession, df._work_path
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def ship_code(spark: SparkSession) -> None:

@@ -15,8 +15,13 @@ from matchstats.llm.ngram_join import ngram_components
 from matchstats.llm.packing import pack
 from matchstats.llm.pii import find_personal_data
 from matchstats.llm.quality import quality_rules
+from matchstats.llm.ranked_search import ORACLE_SQL as SEARCH_SQL
+from matchstats.llm.ranked_search import ranked_search
+from matchstats.llm.sentencepiece_codec import codec_digests
 from matchstats.llm.token_counts import count_tokens
 from matchstats.llm.toxicity import toxicity
+from matchstats.llm.vector_codes import coded
+from matchstats.llm.vector_codes import oracle_sql as codes_sql
 from matchstats.llm.warc import archive_round_trip
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -90,3 +95,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op11_ranked_search", SEARCH_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of all documents and of the texts they decode to."""
+    return codec_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
+@query("op13_vector_codes", codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, 8 parts of 16 entries each."""
+    return coded(read_table(spark, sf_dir, "embeddings"))
