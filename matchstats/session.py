@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -81,3 +83,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the shared checkpoint folder and read again: the plan
+    is cut, and a lost executor costs a re-read.  For tables that are replaced
+    many times: ``remove_work_table`` takes one away."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/work-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._work_path = path
+    return out
+
+
+def remove_work_table(df: DataFrame) -> None:
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(df._work_path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers (like ``--py-files``), once per
+    application; their working folder need not be the repository."""
+    sc = spark.sparkContext
+    if getattr(sc, "_matchstats_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="matchstats-code-"), "matchstats_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._matchstats_shipped = True

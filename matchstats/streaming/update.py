@@ -18,27 +18,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.ml.classification import OneVsRestModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchstats import config as C
 from matchstats.operators import evaluation as E
 from matchstats.operators import learn as L
+from matchstats.operators import model_store
 from matchstats.operators.features import build_features, feature_names
 from matchstats.streaming.ingest import finished
 
 
 def _saved_model(spark: SparkSession, model_dir: str):
-    """The model saved before (any Hadoop filesystem), None where there is none."""
-    try:
-        spark.read.text(f"{model_dir}/model/metadata")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":  # only an absent model is expected
-            raise
-        return None
-    return L.load_model(model_dir)
+    """The newest model of the store, None where there is none."""
+    return L.load_model(model_dir) if model_store.versions(spark, model_dir) else None
 
 
 def make_update_hook(shootouts: DataFrame | str | None, model_dir: str, log_path: str, keys: list[str],
@@ -58,10 +51,9 @@ def make_update_hook(shootouts: DataFrame | str | None, model_dir: str, log_path
         previous = _saved_model(spark, model_dir)
         rolling = None
         if previous is not None:
-            kind = "gradient_boosting" if isinstance(previous.stages[-1], OneVsRestModel) else "other"
             if not finished(spark, f"{scored_path}/epoch={epoch_id}"):
                 batch = build_features(master, shoot, queries=rows, keys=keys, materialize=False)
-                L.score(previous, L.prepare(batch, feats), kind).select(*order, "label", *E.PROB_COLS) \
+                L.score(previous, L.prepare(batch, feats)).select(*order, "label", *E.PROB_COLS) \
                     .write.mode("overwrite").parquet(f"{scored_path}/epoch={epoch_id}")
             scored = spark.read.parquet(scored_path)
             rolling = E.rolling_accuracy(scored, ["epoch", *order], C.UPDATER_LOG_WINDOW).first()["rolling_accuracy"]
