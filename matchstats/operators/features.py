@@ -85,10 +85,12 @@ def form_states(tl: DataFrame, keys: list[str], windows: list[int] | None = None
 
 
 def team_day_states(master: DataFrame, shootouts: DataFrame | None, queries: DataFrame | None,
-                    keys: list[str], windows: list[int] | None = None) -> DataFrame:
+                    keys: list[str], windows: list[int] | None = None, only: DataFrame | None = None) -> DataFrame:
     """Per (team, date): career, shootout, rest-day and form state strictly
-    before that date (W1-W7)."""
+    before that date (W1-W7); ``only``: of the teams in this table."""
     tl = team_log(master, keys)
+    if only is not None:
+        tl = tl.join(only, "team", "left_semi")
     complete = F.col("team_result").isNotNull() & F.col("goals_scored").isNotNull() & F.col("goals_conceded").isNotNull()
     zero = F.lit(0).cast("long")
     events = tl.select(
@@ -104,6 +106,8 @@ def team_day_states(master: DataFrame, shootouts: DataFrame | None, queries: Dat
     parts = [events]
     if shootouts is not None:
         so = shootouts.select("date", "winner", F.explode(F.array("home_team", "away_team")).alias("team"))
+        if only is not None:
+            so = so.join(only, "team", "left_semi")
         parts.append(so.select("team", "date", zero.alias("n_all"), zero.alias("n_c"), zero.alias("wins"),
                                zero.alias("draws"), zero.alias("gs"), zero.alias("gc"), zero.alias("clean"),
                                F.lit(1).cast("long").alias("so_app"),
@@ -155,8 +159,9 @@ def side_features(states: DataFrame, windows: list[int] | None = None) -> DataFr
     return states.select("team", "date", *cols)
 
 
-def h2h_day_states(master: DataFrame, queries: DataFrame | None) -> DataFrame:
-    """W8 state per (unordered pair, date), strictly before the date."""
+def h2h_day_states(master: DataFrame, queries: DataFrame | None, only: DataFrame | None = None) -> DataFrame:
+    """W8 state per (unordered pair, date), strictly before the date; ``only``:
+    of the pairs (lo, hi) in this table."""
     lo = F.least("home_team", "away_team")
     hi = F.greatest("home_team", "away_team")
     done = F.col("result").isNotNull()
@@ -170,6 +175,8 @@ def h2h_day_states(master: DataFrame, queries: DataFrame | None) -> DataFrame:
         (done & (F.col("result") == "draw")).cast("long").alias("draws"),
         (done & hi_win).cast("long").alias("hi_wins"),
         F.when(done, F.coalesce(F.col("total_goals"), F.lit(0))).otherwise(0).cast("long").alias("goals"))
+    if only is not None:
+        ev = ev.join(only, ["lo", "hi"], "left_semi")
     zero = F.lit(0).cast("long")
     if queries is not None:  # query pair-days not already present as history events
         ev = ev.unionByName(queries.select(lo.alias("lo"), hi.alias("hi"), "date", *[
@@ -236,12 +243,18 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
     q = queries.select(*dict.fromkeys([*keys, "date", "home_team", "away_team", "neutral", "tournament", "tournament_tier",
                                        *keep]))
     qx = q if external else None
-    states = side_features(team_day_states(master, shootouts, qx, keys, windows), windows)
+    return assemble(q, team_day_states(master, shootouts, qx, keys, windows), h2h_day_states(master, qx), keys, keep, windows)
+
+
+def assemble(q: DataFrame, team_states: DataFrame, pair_states: DataFrame, keys: list[str], keep: list[str],
+             windows: list[int] | None = None) -> DataFrame:
+    """The feature matrix of the queries ``q`` from the daily states."""
+    states = side_features(team_states, windows)
     side_cols = [c for c in states.columns if c not in ("team", "date")]
     home = states.select(F.col("team").alias("home_team"), "date", *[F.col(c).alias(f"home_{c}") for c in side_cols])
     away = states.select(F.col("team").alias("away_team"), "date", *[F.col(c).alias(f"away_{c}") for c in side_cols])
     j = q.join(home, ["home_team", "date"], "left").join(away, ["away_team", "date"], "left")
-    j = h2h_features(j, h2h_day_states(master, qx))
+    j = h2h_features(j, pair_states)
     j = (j.withColumnRenamed("home_days_since_last_match", "days_since_last_match_home")
          .withColumnRenamed("away_days_since_last_match", "days_since_last_match_away")
          .withColumn("is_neutral", F.coalesce(F.col("neutral"), F.lit(False)).cast("int"))

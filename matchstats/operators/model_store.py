@@ -49,6 +49,9 @@ class Folder:
         out.close()
         return True
 
+    def remove(self, name: str) -> None:
+        self.fs.delete(self._at(name), True)
+
     def reserve(self, name: str) -> bool:
         """Make a new folder by a marker file in it; False if it is taken."""
         return self.create(f"{name}/_taken")

@@ -1,19 +1,29 @@
-"""Global row numbers without a single-partition window.
-
-``row_number() over (order by ...)`` with no partition runs in one task.
-Instead the frame is range-partitioned on the sort key and sorted inside
-each partition, checkpointed to the shared checkpoint directory (so the
-partition layout is fixed for the two passes below and survives executor
-loss), and numbered as ``offset(partition) + position in partition``.
-The offsets table has one row per partition: a proven-small broadcast.
-A hot sort key cannot overload a task because the range partitioner
-splits on the full (date, id) key, not on the date alone.
+"""Global order without a single-partition window.
+
+*Where does the row at position p stand?*  ``rank_cuts`` finds the sort keys
+at given positions without sorting the table: rows are counted per day (one
+aggregate, combined before the shuffle), the day that holds each position
+follows from the running counts, and only the keys of these few days are put in
+order.  ``temporal_split`` and ``cv_folds`` then are plain comparisons with the
+cut keys: the feature rows are neither exchanged nor written.
+
+*Which position does each row have?*  ``row_numbers`` adds the count of earlier
+days to the position within the day.  A day too large for one task, or a first
+key with too many values to count on the driver, goes by ``global_row_number``:
+the keys are range-partitioned on the full sort key (so a hot day is spread),
+checkpointed so that the layout is fixed, and numbered as offset of the
+partition + position in it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from bisect import bisect_right
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from matchstats import config as C
 from matchstats.session import cut_lineage
@@ -36,13 +46,89 @@ def global_row_number(df: DataFrame, order_cols: list[str], out_col: str = "row_
             .drop("__pid", "__local", "__off"))
 
 
+#: Days (values of the first sort key) that are counted on the driver at most.
+MAX_DAYS = 1 << 17
+#: Rows of a day that one task may put in order.
+MAX_DAY_ROWS = 1 << 20
+
+
+def day_counts(df: DataFrame, day: str) -> list[tuple] | None:
+    """(day, rows) in order, nulls first; None if there are too many days."""
+    rows = df.groupBy(day).agg(F.count(F.lit(1)).alias("n")).limit(MAX_DAYS + 1).collect()
+    if len(rows) > MAX_DAYS:
+        return None
+    return sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is not None, r[0]))
+
+
+def rank_cuts(df: DataFrame, order_cols: list[str], positions: list[int], days: list[tuple] | None = None) -> list[tuple | None]:
+    """Sort key (values of ``order_cols``) of the row at each 0-based position,
+    None beyond the end.  ``days``: the table's ``day_counts``."""
+    days = days if days is not None else day_counts(df, order_cols[0])
+    keys = df.select(*order_cols)
+    if days is None:
+        numbered, wanted = global_row_number(keys, order_cols), {p: p for p in positions if p >= 0}
+    else:
+        ends, total = [], 0
+        for _, n in days:
+            total += n
+            ends.append(total)
+        at = {p: bisect_right(ends, p) for p in positions if 0 <= p < total}
+        held = sorted(set(at.values()))
+        if not held:
+            return [None] * len(positions)
+        same = [F.col(order_cols[0]).eqNullSafe(F.lit(days[i][0])) for i in held]
+        keys = keys.filter(reduce(Column.__or__, same))
+        before, of_day = 0, {}  # rows of the kept days before each of them
+        for i in held:
+            of_day[i] = before
+            before += days[i][1]
+        wanted = {p: of_day[i] + p - (ends[i] - days[i][1]) for p, i in at.items()}
+        numbered = _by_day(keys, order_cols, [days[i] for i in held])
+    found = numbered.filter(F.col("row_idx").isin(list(wanted.values()))).select("row_idx", *order_cols).collect()
+    by_number = {r["row_idx"]: tuple(r[c] for c in order_cols) for r in found}  # one row per position asked for
+    return [by_number.get(wanted.get(p)) for p in positions]
+
+
+def _by_day(df: DataFrame, order_cols: list[str], days: list[tuple]) -> DataFrame:
+    """``row_idx`` of every row; ``days``: the table's days and their rows."""
+    if max((n for _, n in days), default=0) > MAX_DAY_ROWS:
+        return global_row_number(df, order_cols)
+    starts, total = [], 0
+    for day, n in days:
+        starts.append((day, total))
+        total += n
+    schema = StructType([StructField("__day", df.schema[order_cols[0]].dataType), StructField("__start", LongType())])
+    offsets = df.sparkSession.createDataFrame(starts, schema)  # MAX_DAYS rows at most
+    w = Window.partitionBy(order_cols[0]).orderBy(*order_cols)
+    ranked = df.withColumn("__rank", F.row_number().over(w))
+    return (ranked.join(F.broadcast(offsets), F.col(order_cols[0]).eqNullSafe(F.col("__day")))
+            .withColumn("row_idx", F.col("__start") + F.col("__rank") - 1).drop("__day", "__start", "__rank"))
+
+
+def row_numbers(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """Every row with its 0-based position ``row_idx`` in ``order_cols`` order."""
+    days = day_counts(df, order_cols[0])
+    return global_row_number(df, order_cols) if days is None else _by_day(df, order_cols, days)
+
+
+def before_key(df: DataFrame, order_cols: list[str], key: tuple) -> Column:
+    """Whether a row stands before ``key`` (nulls are first, as in a sort)."""
+    cells = [F.lit(v).cast(df.schema[c].dataType).alias(c) for v, c in zip(key, order_cols)]
+    return F.struct(*order_cols) < F.struct(*cells)
+
+
+def _row_count(df: DataFrame, days: list[tuple] | None) -> int:
+    return sum(n for _, n in days) if days is not None else df.count()
+
+
 def temporal_split(df: DataFrame, order_cols: list[str], train_frac: float = 0.9) -> DataFrame:
-    """Rows before position int(frac * n) are train, the rest test."""
-    numbered = global_row_number(df, order_cols)
-    # count from the checkpointed frame, never from the (re-computable) input
-    n = numbered.agg(F.count(F.lit(1))).first()[0]
-    cut = F.floor(F.lit(n) * F.lit(train_frac))
-    return numbered.withColumn("split", F.when(F.col("row_idx") < cut, F.lit("train")).otherwise(F.lit("test")))
+    """Rows before position int(frac * n) are train, the rest test.
+    ``df`` is read for the counts, for the keys of one day, and for the rows;
+    rows that are equal in all ``order_cols`` stay on one side."""
+    days = day_counts(df, order_cols[0])
+    key = rank_cuts(df, order_cols, [math.floor(_row_count(df, days) * train_frac)], days)[0]
+    train = F.lit(True) if key is None else before_key(df, order_cols, key)
+    return df.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def cv_folds(df: DataFrame, order_cols: list[str], n_splits: int = C.N_CV_SPLITS) -> DataFrame:
@@ -50,12 +136,12 @@ def cv_folds(df: DataFrame, order_cols: list[str], n_splits: int = C.N_CV_SPLITS
     [n - (k-i)*size, n - (k-i-1)*size) and trains on everything before.
     ``test_fold`` = fold where the row is a test row, -1 for rows that are
     only ever trained on; fold i trains on rows with test_fold < i."""
-    numbered = global_row_number(df, order_cols)
-    n = numbered.agg(F.count(F.lit(1))).first()[0]
-    size = F.lit(n // (n_splits + 1))
-    start = F.lit(n) - size * n_splits
-    fold = F.when(F.col("row_idx") < start, F.lit(-1)).otherwise(F.floor((F.col("row_idx") - start) / size))
-    return numbered.withColumn("test_fold", fold.cast("int"))
+    days = day_counts(df, order_cols[0])
+    n = _row_count(df, days)
+    size = n // (n_splits + 1)
+    keys = rank_cuts(df, order_cols, [n - (n_splits - i) * size for i in range(n_splits)], days)
+    passed = [(~before_key(df, order_cols, k)).cast("int") for k in keys if k is not None]
+    return df.withColumn("test_fold", reduce(Column.__add__, passed, F.lit(-1)))
 
 
 def prefix_sums(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols: list[str],

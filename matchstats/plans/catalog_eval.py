@@ -13,14 +13,16 @@ from matchstats.operators import evaluation as E
 from matchstats.operators.master import complete_matches
 from matchstats.operators.rownum import temporal_split
 from matchstats.plans.catalog import KEYS, ORDER, _inp, query
+from matchstats.session import work_table
 
 
 def scored_test_split(spark, sf):
     """Heuristic probabilities for the last 10% of complete matches, using
     team records from the first 90% only."""
-    c = complete_matches(_inp(spark, sf).master)
-    split = temporal_split(c.select("match_id", "date"), ORDER).select("match_id", "split")
-    c = c.join(split, "match_id")
+    c = work_table(complete_matches(_inp(spark, sf).master).select(
+        "match_id", "date", "home_team", "away_team", "neutral", "tournament_tier", "result", "home_goals", "away_goals",
+        "is_incomplete"), "matches")
+    c = temporal_split(c, ORDER)
     records = A.team_records(c.filter(F.col("split") == "train"), KEYS)
     fx = c.filter(F.col("split") == "test").select(
         "match_id", "date", "home_team", "away_team", "neutral", "tournament_tier", "result")

@@ -3,16 +3,20 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from matchstats import config as C
 from matchstats.operators import features as FE
+from matchstats.operators import learn as L
 from matchstats.operators.asof import asof_strict
 from matchstats.operators.master import complete_matches
-from matchstats.operators.rownum import cv_folds, temporal_split
+from matchstats.operators.rownum import cv_folds, rank_cuts, row_numbers, temporal_split
 from matchstats.operators.teamlog import team_log
 from matchstats.operators import featstats as FS
 from matchstats.plans.catalog import KEYS, ORDER, _inp, query
+from matchstats.session import work_table
 
 FEATS = FE.feature_names()
 INT_FEATS = {"home_momentum", "away_momentum", "days_since_last_match_home", "days_since_last_match_away",
@@ -97,8 +101,8 @@ def q_leak_audit(spark, sf):
             FROM complete_t)""")
 def q_temporal_split(spark, sf):
     """90/10 temporal split of complete matches at row int(0.9 n)."""
-    c = complete_matches(_inp(spark, sf).master).select("match_id", "date")
-    return temporal_split(c, ORDER).select("match_id", "row_idx", "split")
+    c = work_table(complete_matches(_inp(spark, sf).master).select("match_id", "date"), "keys")
+    return temporal_split(row_numbers(c, ORDER), ORDER).select("match_id", "row_idx", "split")
 
 
 @query("cv_folds",
@@ -108,8 +112,43 @@ def q_temporal_split(spark, sf):
               floor(count(*) OVER () / {C.N_CV_SPLITS + 1}) AS s FROM complete_t)""")
 def q_cv_folds(spark, sf):
     """Expanding-window CV fold of each complete match."""
-    c = complete_matches(_inp(spark, sf).master).select("match_id", "date")
-    return cv_folds(c, ORDER).select("match_id", "row_idx", "test_fold")
+    c = work_table(complete_matches(_inp(spark, sf).master).select("match_id", "date"), "keys")
+    return cv_folds(row_numbers(c, ORDER), ORDER).select("match_id", "row_idx", "test_fold")
+
+
+@query("cv_fold_plan",
+       f"""WITH numbered AS (
+             SELECT label, match_weight, CAST(CASE WHEN row_idx < n - {C.N_CV_SPLITS} * s THEN -1
+                 ELSE floor((row_idx - (n - {C.N_CV_SPLITS} * s)) / s) END AS INT) AS test_fold FROM (
+               SELECT CASE result WHEN 'home_win' THEN 0 WHEN 'draw' THEN 1 ELSE 2 END AS label, match_weight,
+                 row_number() OVER (ORDER BY date, match_id) - 1 AS row_idx, count(*) OVER () AS n,
+                 floor(count(*) OVER () / {C.N_CV_SPLITS + 1}) AS s FROM complete_t)),
+           folds AS (SELECT unnest(range(0, {C.N_CV_SPLITS}))::INT AS fold)
+           SELECT fold, label, count(*) FILTER (test_fold < fold) AS n_train, count(*) FILTER (test_fold = fold) AS n_test,
+             (sum(match_weight) FILTER (test_fold < fold))::BIGINT AS train_weight,
+             sum(count(*) FILTER (test_fold < fold)) OVER (PARTITION BY fold)
+               / (3.0 * count(*) FILTER (test_fold < fold)) AS class_weight
+           FROM numbered, folds GROUP BY fold, label""", doubles=["class_weight"])
+def q_cv_fold_plan(spark, sf):
+    """T11 + M6 + M7: rows, weights and balanced class weights of each fold's
+    training slice and class, and its test rows: what the model queries fit on."""
+    c = complete_matches(_inp(spark, sf).master).select("match_id", "date", "result", "match_weight")
+    return L.fold_plan(cv_folds(work_table(c, "keys"), ORDER))
+
+
+@query("rank_selection",
+       f"""SELECT share, match_id, date FROM (
+             SELECT match_id, date, row_number() OVER (ORDER BY date, match_id) - 1 AS row_idx, count(*) OVER () AS n
+             FROM complete_t) JOIN (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9]) AS share)
+           ON row_idx = floor(CAST(share AS DOUBLE) * n)""", doubles=["share"])
+def q_rank_selection(spark, sf):
+    """T7 + T8: the complete match at given shares of the temporal order, found
+    without sorting the table."""
+    c = work_table(complete_matches(_inp(spark, sf).master).select("match_id", "date"), "keys")
+    n, shares = c.count(), [0.1, 0.25, 0.5, 0.75, 0.9]
+    keys = rank_cuts(c, ORDER, [math.floor(n * x) for x in shares])
+    return spark.createDataFrame([(x, k[1], k[0]) for x, k in zip(shares, keys) if k is not None],
+                                 "share double, match_id long, date date")
 
 
 # --- feature statistics ---------------------------------------------------------

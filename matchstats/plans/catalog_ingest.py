@@ -8,9 +8,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from matchstats.operators.master import MASTER_COLUMNS
+from matchstats.operators.master import MASTER_COLUMNS, complete_matches
 from matchstats.plans.catalog import KEYS, _inp, query
+from matchstats.plans.catalog_features import DOUBLE_FEATS
+from matchstats.session import work_table
 from matchstats.streaming.ingest import ingest_batch, run_ingest_stream, scratch_dir, validate_feed
+from matchstats.streaming.states import build_states, repair_states, stored_features
 
 CUT = dt.date(2001, 1, 1)
 #: Files that the feed arrives in, one per micro-batch.
@@ -87,3 +90,27 @@ def q_stream_ingest(spark, sf):
     feed.repartitionByRange(STREAM_FILES, F.col("date").desc()).write.mode("overwrite").json(feed_dir)
     run_ingest_stream(spark, feed_dir, master_path, work, KEYS)
     return spark.read.parquet(master_path)
+
+
+#: The matches of these days arrive after later ones.
+LATE_FROM, LATE_TO = dt.date(1999, 1, 1), dt.date(2000, 7, 1)
+
+
+@query("late_data_repair", "SELECT * FROM f_all", doubles=DOUBLE_FEATS, features=True)
+def q_late_data_repair(spark, sf):
+    """R2: feature states are built up to 1998, then the matches from July
+    2000 on arrive, then the older ones in between; each batch rewrites only
+    the (team, day) and (pair, day) ranges it touches.  The features read from
+    the states equal a rebuild."""
+    inp = _inp(spark, sf)
+    path = scratch_dir(spark, "states")
+    master = work_table(inp.master, "master")
+    day = F.col("date")
+    arrivals = [day < F.lit(LATE_FROM), day >= F.lit(LATE_TO), (day >= F.lit(LATE_FROM)) & (day < F.lit(LATE_TO))]
+    here = arrivals[0]
+    # the features read shootouts as given, all of them known from the start on
+    build_states(master.filter(here), inp.shootouts, path, KEYS)
+    for more in arrivals[1:]:
+        here = here | more
+        repair_states(master.filter(here), inp.shootouts, master.filter(more), path, KEYS)
+    return stored_features(complete_matches(master), path, KEYS)
