@@ -4,11 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A name dimension is a small table of its own; more rows are refused.
+from matchstats.operators.rownum import row_numbers
+from matchstats.session import remove_work_table, work_table
+
+#: Up to so many rows a name dimension is closed on the driver and sent to the facts.
 MAX_DIMENSION_ROWS = 100_000
+#: Time is cut into eras of this many days; a name with many rows into
+#: stretches of an era (a power of two days) with about ``BUCKET_ROWS`` starts.
+ERA_DAYS, BUCKET_ROWS = 512, 32
 _DAY = dt.timedelta(days=1)
 
 
@@ -55,7 +63,7 @@ def normalise_dimension(dim: DataFrame) -> DataFrame:
 
 
 def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col: str = "date",
-                  normalised: bool = False) -> DataFrame:
+                  normalised: bool = False, order_cols: list[str] | None = None) -> DataFrame:
     """Replace ``name`` as the dimension's rows do in file order: with
     ``current`` when ``name == former`` and ``start_date <= date <= end_date``
     (both ends inclusive); NULL dates and unmatched names stay unchanged.
@@ -64,7 +72,13 @@ def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col:
     Each column is a hash join on ``name == former`` with the interval as join
     condition; the dimension is bounded (``MAX_DIMENSION_ROWS``) and sent to
     the facts.  ``normalised``: ``dim`` is a ``normalise_dimension`` result.
+    A larger one goes by ``resolve_names_large``; ``order_cols`` name its file
+    order where the order of reading does not.
     """
+    if not normalised:
+        if dim.limit(MAX_DIMENSION_ROWS + 1).count() > MAX_DIMENSION_ROWS:
+            return resolve_names_large(df, dim, name_cols, date_col, order_cols)
+        dim = dim.orderBy(*order_cols) if order_cols else dim
     d = dim if normalised else normalise_dimension(dim)
     out = df
     for i, c in enumerate(name_cols):
@@ -78,3 +92,108 @@ def resolve_names(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col:
                .withColumn(c, F.coalesce(F.col(f"__current{i}"), F.col(c)))
                .drop(f"__former{i}", f"__current{i}", f"__start{i}", f"__end{i}"))
     return out
+
+
+def _bucket(day: Column, width: Column) -> Column:
+    return F.floor(day / width)
+
+
+def _pieces(cands: Column, low: Column, high: Column) -> Column:
+    """Stretches of [low, high] with the first row (``pos``) of ``cands``
+    (pos, s, e) that covers each, null where none does."""
+    starts = F.transform(cands, lambda c: F.greatest(c["s"], low))
+    after = F.filter(F.transform(cands, lambda c: c["e"] + 1), lambda d: (d > low) & (d <= high))
+    cuts = F.array_sort(F.array_distinct(F.concat(F.array(low), F.filter(starts, lambda d: d <= high), after)))
+
+    def piece(cut: Column, i: Column) -> Column:
+        covering = F.filter(cands, lambda c: (c["s"] <= cut) & (c["e"] >= cut))
+        end = F.coalesce(F.get(cuts, i + 1) - 1, high)
+        return F.struct(cut.alias("s"), end.alias("e"), F.array_min(F.transform(covering, lambda c: c["pos"])).alias("dst"))
+
+    return F.transform(cuts, piece)
+
+
+def _hop(left: DataFrame, hops: DataFrame, keys: list[str]) -> DataFrame:
+    """``left`` (keys, s, e, dst) one composition further: where ``dst`` has
+    hops, the stretch goes on to theirs."""
+    h = hops.select(F.col("src").alias("dst"), F.col("era").alias("h_era"), F.col("s").alias("h_s"), F.col("e").alias("h_e"),
+                    F.col("dst").alias("h_dst"))
+    j = left.join(h, (left["dst"] == h["dst"]) & (left["era"] == h["h_era"]) & (left["s"] <= h["h_e"]) & (h["h_s"] <= left["e"]), "left")
+    new = F.coalesce("h_dst", left["dst"])
+    return j.select(*keys, "era", F.greatest("s", "h_s").alias("s"), F.least("e", "h_e").alias("e"), new.alias("dst"),
+                    (new != left["dst"]).alias("moved"))
+
+
+def resolve_names_large(df: DataFrame, dim: DataFrame, name_cols: list[str], date_col: str = "date",
+                        order_cols: list[str] | None = None) -> DataFrame:
+    """``resolve_names`` for a dimension of any size, closed in Spark.
+
+    The distinct (name, date) pairs of the facts are what is asked.  The
+    dimension's intervals, cut to the facts' days, are dealt to time buckets per
+    former name (narrower ones for names with many rows).  Within a bucket the
+    first covering row of each stretch of days is where a name begins; the
+    first *later* row for the name that a row gives is that row's hop.  Chains
+    are closed by pointer doubling: beginnings and hops are composed with the
+    hops until no beginning moves, in as many rounds as the logarithm of the
+    longest chain.  The facts get their answers by equality on (name, date).
+    Work grows with the rows, the eras they span, and the pairs of rows of one
+    name that overlap within a bucket."""
+    pairs = reduce(DataFrame.union, [df.select(F.col(c).alias("name"), F.col(date_col).cast("date").alias("day")) for c in name_cols])
+    asked = work_table(pairs.filter("name IS NOT NULL AND day IS NOT NULL").distinct().withColumn("day", F.unix_date("day")), "asked")
+    low, high = asked.agg(F.min("day"), F.max("day")).first()
+    if low is None:
+        remove_work_table(asked)
+        return df
+    valid = dim.select(*dict.fromkeys(["former", "current", "start_date", "end_date", *(order_cols or [])]))
+    if order_cols:
+        numbered = row_numbers(work_table(valid, "names"), order_cols).withColumnRenamed("row_idx", "pos")
+    else:
+        numbered = valid.withColumn("pos", F.monotonically_increasing_id())
+    rows = work_table(
+        numbered.filter("former IS NOT NULL AND start_date IS NOT NULL AND end_date IS NOT NULL")
+        .select("pos", "former", "current", F.greatest(F.unix_date("start_date"), F.lit(low)).alias("s"),
+                F.least(F.unix_date("end_date"), F.lit(high)).alias("e")).filter("s <= e"), "names")
+    # a power of two days per former name
+    days = F.lit(float((high - low + 1) * BUCKET_ROWS)) / F.count(F.lit(1))
+    width = F.pow(F.lit(2.0), F.least(F.greatest(F.floor(F.log2(days)), F.lit(0)), F.lit(ERA_DAYS.bit_length() - 1)))
+    widths = rows.groupBy("former").agg(width.cast("int").alias("w"))
+
+    def dealt(r: DataFrame) -> DataFrame:
+        return r.withColumn("b", F.explode(F.sequence(_bucket(F.col("s"), F.col("w")), _bucket(F.col("e"), F.col("w")))))
+
+    groups = work_table(dealt(rows.join(widths, "former")).groupBy("former", "w", "b")
+                        .agg(F.collect_list(F.struct("pos", "s", "e")).alias("cands")), "name-buckets")
+    first, last = F.col("b") * F.col("w"), (F.col("b") + 1) * F.col("w") - 1
+    era = _bucket(F.col("s"), F.lit(ERA_DAYS)).alias("era")
+    begin = groups.select(F.col("former").alias("name"), F.inline(_pieces(
+        F.col("cands"), F.greatest(first, F.lit(low)).cast("int"), F.least(last, F.lit(high)).cast("int"))))
+    begin = work_table(begin.filter("dst IS NOT NULL").select("name", era, "s", "e", "dst"), "name-begin")
+    src = rows.select(F.col("pos").alias("src"), F.col("current").alias("former"), "s", "e").join(widths, "former")
+    later = dealt(src).join(groups.select("former", "b", "cands"), ["former", "b"], "left").select(
+        "src", F.greatest(F.col("s"), first).cast("int").alias("low"), F.least(F.col("e"), last).cast("int").alias("high"),
+        F.filter(F.coalesce("cands", F.array().cast(groups.schema["cands"].dataType)),
+                 lambda c: (c["pos"] > F.col("src")) & (c["e"] >= F.greatest(F.col("s"), first)) & (c["s"] <= F.least(F.col("e"), last))
+                 ).alias("cands"))
+    hops = later.select("src", F.inline(_pieces(F.col("cands"), F.col("low"), F.col("high"))))
+    hops = work_table(hops.select("src", era, "s", "e", F.coalesce("dst", "src").alias("dst")), "name-hops")
+    while True:
+        before, begin = begin, work_table(_hop(begin, hops, ["name"]), "name-begin")
+        remove_work_table(before)
+        if not begin.filter("moved").limit(1).count():
+            break
+        before, hops = hops, work_table(_hop(hops, hops.select("*"), ["src"]), "name-hops")
+        remove_work_table(before)
+    given = rows.select(F.col("pos").alias("dst"), "current")
+    final = begin.join(given, "dst").filter("NOT (current <=> name)").select(F.col("name").alias("p_name"), F.col("era").alias("p_era"),
+                                                                         "s", "e", "current")
+    answers = asked.join(final, (F.col("name") == F.col("p_name")) & (_bucket(F.col("day"), F.lit(ERA_DAYS)) == F.col("p_era"))
+                         & F.col("day").between(F.col("s"), F.col("e")))
+    answers = work_table(answers.select("name", F.date_from_unix_date("day").alias("day"), "current"), "name-answers")
+    for table in (asked, rows, groups, begin, hops):
+        remove_work_table(table)
+    out = df
+    for i, c in enumerate(name_cols):
+        a = answers.toDF(f"__name{i}", f"__day{i}", f"__current{i}")
+        out = (out.join(a, (F.col(c) == F.col(f"__name{i}")) & (F.col(date_col).cast("date") == F.col(f"__day{i}")), "left")
+               .withColumn(c, F.coalesce(f"__current{i}", c)).drop(f"__name{i}", f"__day{i}", f"__current{i}"))
+    return out

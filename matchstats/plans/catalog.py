@@ -19,7 +19,7 @@ from matchstats.functions import scalar as S
 from matchstats.operators import analytics as A
 from matchstats.operators.goals import aggregate_goals, impute_minute
 from matchstats.operators.master import complete_matches, master_summary, tier_distribution
-from matchstats.operators.names import resolve_names
+from matchstats.operators.names import resolve_names, resolve_names_large
 from matchstats.operators.teamlog import all_teams, team_log
 from matchstats.plans.oracle_sql import knockout_sql, with_ctes
 from matchstats.plans.pipeline import fixture_inputs
@@ -366,6 +366,51 @@ def q_resolve_names_dirty(spark, sf):
         "match_id", "date", "home_team", "away_team")
 
 
+_LARGE_NAMES = """names AS (
+  SELECT *, row_number() OVER (ORDER BY o, n, former, current, start_date, end_date) - 1 AS pos FROM (
+    SELECT l_orderkey AS o, l_linenumber AS n, 'P' || l_partkey AS former, 'S' || l_suppkey AS current,
+      CAST(l_shipdate AS DATE) AS start_date, CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) AS end_date FROM lineitem
+    UNION ALL
+    SELECT l_orderkey, l_linenumber, 'S' || l_suppkey, 'C' || o_custkey, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + 30
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    UNION ALL
+    SELECT o_orderkey, 0, 'C' || o_custkey, o_orderpriority, CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + 365
+    FROM orders) t)"""
+
+
+def _large_names_sql() -> str:
+    """At most three renames follow one another (P, S, C)."""
+    sql = f"""WITH {_LARGE_NAMES},
+h0 AS (SELECT DISTINCT 'P' || l_partkey AS given, CAST(l_shipdate AS DATE) AS date, 'P' || l_partkey AS name,
+         CAST(-1 AS BIGINT) AS last FROM lineitem)"""
+    for k in (1, 2, 3):
+        sql += f""",
+s{k} AS (SELECT h.given, h.date, arg_min(d.current, d.pos) AS name, min(d.pos) AS last FROM h{k - 1} h JOIN names d
+        ON d.former = h.name AND h.date BETWEEN d.start_date AND d.end_date AND d.pos > h.last GROUP BY h.given, h.date),
+h{k} AS (SELECT h.given, h.date, coalesce(s.name, h.name) AS name, coalesce(s.last, h.last) AS last
+        FROM h{k - 1} h LEFT JOIN s{k} s ON s.given = h.given AND s.date = h.date)"""
+    return sql + """
+SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date, h3.name AS part_name
+FROM lineitem JOIN h3 ON h3.given = 'P' || l_partkey AND h3.date = CAST(l_shipdate AS DATE)"""
+
+
+@query("resolve_names_large", _large_names_sql())
+def q_resolve_names_large(spark, sf):
+    """J1 with a dimension that grows with the data (two rows per line item and
+    one per order, overlaps and chains)."""
+    lines, orders = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("lineitem", "orders"))
+    ship, placed = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
+    part, supplier, customer = (F.concat(F.lit(a), F.col(b).cast("string")) for a, b in (
+        ("P", "l_partkey"), ("S", "l_suppkey"), ("C", "o_custkey")))
+    cols = ["o", "n", "former", "current", "start_date", "end_date"]
+    dim = (lines.select("l_orderkey", "l_linenumber", part, supplier, ship, F.date_add(ship, F.col("l_quantity").cast("int"))).toDF(*cols)
+           .union(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                  .select("l_orderkey", "l_linenumber", supplier, customer, placed, F.date_add(placed, 30)).toDF(*cols))
+           .union(orders.select("o_orderkey", F.lit(0), customer, "o_orderpriority", placed, F.date_add(placed, 365)).toDF(*cols)))
+    facts = lines.select("l_orderkey", "l_linenumber", ship.alias("date"), part.alias("part_name"))
+    return resolve_names_large(facts, dim, ["part_name"], "date", cols)
+
+
 @query("avg_goals_by_decade",
        "SELECT CAST(floor(year(date) / 10) * 10 AS INT) AS decade, avg(total_goals) AS avg_goals, count(*) AS n "
        "FROM master_t WHERE result IS NOT NULL AND total_goals IS NOT NULL GROUP BY 1", doubles=["avg_goals"])
