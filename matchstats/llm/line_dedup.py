@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,14 +50,19 @@ LEAST_WORDS = 5
 ONE_WORD, TWO_WORDS = 20, 40
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_SPACES = np.array([32, *range(9, 14)], np.uint32)
 _HALF = np.uint64(0x632BE59BD9B4E019)
 _REPLACED, _WHOLE = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xABC98388FB8FAC03)
 _WORD_HALF, _THIRD = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 _WORD_REPLACED, _WORD_WHOLE = np.uint64(0xD1342543DE82EF95), np.uint64(0xDA942042E4DD58B5)
 _BLOCKS, _TWO = np.uint64(0xB5026F5AA96619E9), np.uint64(0xC6BC279692B5CC83)
-#: Which keys a line shares: of its characters, for one word, for two.
-CHARACTER, WORD, WORDS = 1, 2, 4
+#: Why a line gives keys: it shares its first or last half with a line as long
+#: (one place behind it, or before it, is replaced), with one longer by one (it
+#: gives itself), or its first or last half with one shorter by one (it drops a
+#: place behind it, or before it).  For characters; for words the same, shifted.
+REPLACE_FIRST, REPLACE_LAST, ITSELF, DROP_FIRST, DROP_LAST = 1, 2, 4, 8, 16
+WORD_SHIFT = 5
+#: It shares a third, for two words.
+WORDS = 1 << 10
 
 
 class Lines:
@@ -67,7 +73,7 @@ class Lines:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         n, ends = len(self.points), np.cumsum(sizes)
-        space = np.isin(self.points, _SPACES)
+        self.space = space = (self.points == 32) | (self.points - np.uint32(9) < 5)
         before = np.concatenate([[True], space[:-1]]) if n else space
         after = np.concatenate([space[1:], [True]]) if n else space
         heads = (ends - sizes)[sizes > 0]
@@ -77,7 +83,8 @@ class Lines:
         breaks = np.cumsum(self.points == 10) if n else np.zeros(0, np.int64)
         row = np.searchsorted(ends, first, side="right")
         line = breaks[first] + row if len(first) else first
-        lines, at, words = np.unique(line, return_index=True, return_counts=True)
+        at = np.flatnonzero(np.diff(line, prepend=-1))  # lines come in order
+        words = np.diff(np.append(at, len(line)))
         keep = words >= LEAST_WORDS
         at_end = at + words - 1
         self.start, self.end = first[at[keep]], last[at_end[keep]]
@@ -86,11 +93,18 @@ class Lines:
         heads_all = ends - sizes
         base = np.where(heads_all > 0, breaks[np.maximum(heads_all - 1, 0)] if n else 0, 0)
         self.number = breaks[self.start] - base[self.row] if len(self.start) else self.start
-        inverse, forward = position_powers(n)
+
+    @cached_property
+    def total(self) -> np.ndarray:
+        n = len(self.points)
         with np.errstate(over="ignore"):
-            self.total = np.zeros(n + 1, np.uint64)
-            np.cumsum(mixed(self.points.astype(np.uint64) + np.uint64(0x51ED270B)) * forward[:n], out=self.total[1:])
-        self.inverse = inverse
+            total = np.zeros(n + 1, np.uint64)
+            np.cumsum(mixed(self.points.astype(np.uint64) + np.uint64(0x51ED270B)) * position_powers(n)[1][:n], out=total[1:])
+        return total
+
+    @property
+    def inverse(self) -> np.ndarray:
+        return position_powers(len(self.points))[0]
 
     def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -140,24 +154,28 @@ class Lines:
         keys[n < ONE_WORD, :4], keys[n < TWO_WORDS, 4:] = 0, 0
         return keys
 
-    def word_neighbourhood(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def word_neighbourhood(self, why: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As ``neighbourhood``, with words for characters; from ``TWO_WORDS``
         words on the keys for two words find a replaced one."""
-        n = self.words[pick]
-        line = np.repeat(pick, n)
-        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
-        s = self.word_at[line]
-        e = s + self.words[line]
+        n = self.words
+        replaced_at, dropped_at = _open_places(n, np.where(n < TWO_WORDS, why, why & ~(REPLACE_FIRST | REPLACE_LAST)))
+        pick = np.flatnonzero(why & ITSELF)
         with np.errstate(over="ignore"):
             power = position_powers(int(n.max()) + 1 if len(n) else 1)[1]
-            less = self.raw_words(s, s + place) + self.raw_words(s + place + 1, e) * power[place]
-            size = (e - s).astype(np.uint64)
-            replaced = mixed(less + _WORD_REPLACED * (place.astype(np.uint64) + np.uint64(1)) + size)
-            shorter = mixed(less + _WORD_WHOLE * size)
-            whole = mixed(self.raw_words(self.word_at[pick], self.word_at[pick] + n) + _WORD_WHOLE * (n.astype(np.uint64) + np.uint64(1)))
-        one = self.words[line] < TWO_WORDS
-        return (np.concatenate([line[one], pick, line]), np.repeat([0, 1, 2], [one.sum(), len(pick), len(line)]),
-                np.concatenate([replaced[one], whole, shorter]))
+
+            def less(line: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                s = self.word_at[line]
+                e = s + n[line]
+                return self.raw_words(s, s + place) + self.raw_words(s + place + 1, e) * power[place], n[line].astype(np.uint64)
+
+            rest, size = less(*replaced_at)
+            replaced = mixed(rest + _WORD_REPLACED * (replaced_at[1].astype(np.uint64) + np.uint64(1)) + size)
+            rest, size = less(*dropped_at)
+            shorter = mixed(rest + _WORD_WHOLE * size)
+            whole = mixed(self.raw_words(self.word_at[pick], self.word_at[pick] + n[pick])
+                          + _WORD_WHOLE * (n[pick].astype(np.uint64) + np.uint64(1)))
+        return (np.concatenate([replaced_at[0], pick, dropped_at[0]]),
+                np.repeat([0, 1, 2], [len(replaced), len(pick), len(shorter)]), np.concatenate([replaced, whole, shorter]))
 
     def _without(self, i: int, a: np.ndarray, b: np.ndarray, salt: np.uint64, bounds: np.ndarray) -> np.ndarray:
         """Keys of line i without its spans a and b (numbers in bounds); other words keep their places."""
@@ -187,31 +205,52 @@ class Lines:
         x, y = np.concatenate(at, axis=1)
         return self._without(i, x, y, _TWO, np.arange(int(self.words[i]) + 1))
 
-    def neighbourhood(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(line, role, key) of the lines ``pick``: role 0 replacement keys, 1
-        the whole line, 2 the line less one character.  In lines of more than
-        ``ONE_WORD`` words the latter only for spaces: with a letter put in,
-        the shorter line has ``ONE_WORD`` words at least, and one word of the
-        longer is put in or replaced."""
-        n = (self.end - self.start)[pick]
-        line = np.repeat(pick, n)
-        place = np.arange(len(line)) - np.repeat(np.cumsum(n) - n, n)
-        s, e = self.start[line], self.end[line]
+    def neighbourhood(self, why: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, role, key) of the lines, as ``why`` asks of each: role 0
+        replacement keys, 1 the whole line, 2 the line less one character.  In
+        lines of more than ``ONE_WORD`` words the latter only for spaces: with a
+        letter put in, the shorter line has ``ONE_WORD`` words at least, and one
+        word of the longer is put in or replaced."""
+        n = self.end - self.start
+        replaced_at, dropped_at = _open_places(n, why)
+        put_in = (self.words[dropped_at[0]] <= ONE_WORD) | self.space[self.start[dropped_at[0]] + dropped_at[1]]
+        dropped_at = dropped_at[0][put_in], dropped_at[1][put_in]
+        pick = np.flatnonzero(why & ITSELF)
         with np.errstate(over="ignore"):
             power = position_powers(int(n.max()) + 1 if len(n) else 1)[1]
-            less = self.raw(s, s + place) + self.raw(s + place + 1, e) * power[place]
-            size = (e - s).astype(np.uint64)
-            replaced = mixed(less + _REPLACED * (place.astype(np.uint64) + np.uint64(1)) + size)
-            shorter = mixed(less + _WHOLE * size)
-            whole = mixed(self.raw(self.start[pick], self.end[pick]) + _WHOLE * (n.astype(np.uint64) + np.uint64(1)))
-            put_in = (self.words[line] <= ONE_WORD) | np.isin(self.points[s + place], _SPACES)
-        return (np.concatenate([line, pick, line[put_in]]), np.repeat([0, 1, 2], [len(line), len(pick), put_in.sum()]),
-                np.concatenate([replaced, whole, shorter[put_in]]))
+
+            def less(line: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                s, e = self.start[line], self.end[line]
+                return self.raw(s, s + place) + self.raw(s + place + 1, e) * power[place], (e - s).astype(np.uint64)
+
+            rest, size = less(*replaced_at)
+            replaced = mixed(rest + _REPLACED * (replaced_at[1].astype(np.uint64) + np.uint64(1)) + size)
+            rest, size = less(*dropped_at)
+            shorter = mixed(rest + _WHOLE * size)
+            whole = mixed(self.raw(self.start[pick], self.end[pick]) + _WHOLE * (n[pick].astype(np.uint64) + np.uint64(1)))
+        return (np.concatenate([replaced_at[0], pick, dropped_at[0]]),
+                np.repeat([0, 1, 2], [len(replaced), len(pick), len(shorter)]), np.concatenate([replaced, whole, shorter]))
 
     def texts(self) -> list[str]:
         return [self.points[a:b].tobytes().decode("utf-32-le", "surrogatepass") for a, b in zip(self.start, self.end)]
 
 
+def _open_places(n: np.ndarray, why: np.ndarray) -> tuple[tuple, tuple]:
+    """(line, place) of the places that may be replaced, and of those that may
+    be dropped.  Lines that share their first half have their first difference
+    behind it, and one that is longer by one less that place is the other line;
+    from the end likewise."""
+    out = []
+    for first, last, m in ((REPLACE_FIRST, REPLACE_LAST, n), (DROP_FIRST, DROP_LAST, n - 1)):
+        half = np.maximum(m - 1, 0) // 2
+        low = np.where(why & last, 0, half)
+        high = np.where(why & first, n, np.where(why & last, n - half, low))
+        count = np.maximum(high - low, 0)
+        line = np.repeat(np.arange(len(n)), count)
+        out.append((line, np.arange(len(line)) + np.repeat(low - (np.cumsum(count) - count), count)))
+    return out[0], out[1]
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -272,8 +311,7 @@ def neighbourhood_keys(lines: DataFrame) -> DataFrame:
                 x = Lines(batch.column("line_text").slice(a, b - a).to_pylist())
                 x.count_words()
                 mine = kinds[x.row + a]
-                for line, role, key in (x.neighbourhood(np.flatnonzero(mine & CHARACTER)),
-                                        x.word_neighbourhood(np.flatnonzero(mine & WORD))):
+                for line, role, key in (x.neighbourhood(mine), x.word_neighbourhood(mine >> WORD_SHIFT)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(4 * rank[x.row[line] + a] + role, pa.int64()), _signed(key)], ["code", "key"])
 
@@ -327,18 +365,25 @@ def words_apart(x: str, y: str) -> bool:
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h of the distinct lines within the bound of an earlier line."""
     shared = Window.partitionBy("half")
-    kind = F.when(F.col("pos") < 4, CHARACTER).when(F.col("pos") < 8, WORD).otherwise(WORDS)
+    pos = F.col("pos")
     halves = (distinct.select("h", "words", F.posexplode("halves").alias("pos", "half")).filter("half != 0")
-              .select("h", "words", "half", kind.alias("kind")))
+              .select("h", "words", "half", "pos"))
     # of two lines of as many words, ONE_WORD at least, that differ in a
     # character all words but one are equal: their word keys find them; so do
     # from TWO_WORDS words on those for two words, if one is replaced
-    kept_counts = {CHARACTER: F.col("words") <= ONE_WORD, WORD: F.col("words") < TWO_WORDS, WORDS: F.lit(True)}
-    needed = F.min("words").over(shared) != F.max("words").over(shared)
-    for k, same_count in kept_counts.items():
-        needed = needed | ((F.col("kind") == k) & same_count)
-    candidates = (halves.withColumn("lo", F.min("h").over(shared)).withColumn("hi", F.max("h").over(shared))
-                  .withColumn("needed", needed).filter("lo != hi AND needed").groupBy("h").agg(F.bit_or("kind").alias("kinds")))
+    needed = ((F.min("words").over(shared) != F.max("words").over(shared)) | (pos >= 8)
+              | ((pos < 4) & (F.col("words") <= ONE_WORD)) | ((pos >= 4) & (F.col("words") < TWO_WORDS)))
+    # places 2 and 3 (of four) are halves as the longer of a pair
+    longer = (pos < 8) & (pos.bitwiseAND(2) != 0)
+    found = (halves.withColumn("longer", longer).withColumn("lo", F.min(F.when(~longer, F.col("h"))).over(shared))
+             .withColumn("hi", F.max(F.when(~longer, F.col("h"))).over(shared))
+             .withColumn("has_longer", F.max("longer").over(shared)).withColumn("needed", needed).filter("needed"))
+    last, shift = pos.bitwiseAND(1) != 0, F.when(pos < 4, 1).otherwise(1 << WORD_SHIFT)
+    why = F.when(pos >= 8, F.when(F.col("lo") != F.col("hi"), WORDS)).when(
+        F.col("longer"), F.when(F.col("lo").isNotNull(), shift * F.when(last, DROP_LAST).otherwise(DROP_FIRST))).otherwise(
+        shift * (F.when(F.col("lo") != F.col("hi"), F.when(last, REPLACE_LAST).otherwise(REPLACE_FIRST)).otherwise(0)
+                 + F.when(F.col("has_longer"), ITSELF).otherwise(0)))
+    candidates = found.select("h", why.alias("why")).filter("why > 0").groupBy("h").agg(F.bit_or("why").alias("kinds"))
     # rank: one number in the order of places, so that the many keys carry no more
     order = ["place.doc_id", "place.tkey", "place.line"]
     wanted = written(distinct.join(candidates, "h").select("h", "place", "kinds").repartitionByRange(*order)
