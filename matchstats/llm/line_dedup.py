@@ -389,7 +389,10 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     wanted = written(distinct.join(candidates, "h").select("h", "place", "kinds").repartitionByRange(*order)
                      .sortWithinPartitions(*order).withColumn("rank", F.monotonically_increasing_id()), "line-candidates")
     lines = written(line_texts(docs, wanted), "line-texts")
-    keys = neighbourhood_keys(lines)
+    # few bytes become many keys: every shuffle partition takes a share of the lines
+    share = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = lines.repartition(share, "h")
+    keys = neighbourhood_keys(spread)
     by_key = Window.partitionBy("key")
 
     role = F.col("code").bitwiseAND(F.lit(3))
@@ -401,7 +404,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     # others; so are a line and all those with one character or word more
     single = (keys.withColumn("w", F.when(role == 0, first(0)).when(role == 1, first(2)).otherwise(first(1)))
               .select(F.shiftright("code", 2).alias("rank"), F.shiftright("w", 2).alias("witness")))
-    double = two_word_keys(lines.filter(F.col("kinds").bitwiseAND(F.lit(WORDS)) != 0)).withColumn(
+    double = two_word_keys(spread.filter(F.col("kinds").bitwiseAND(F.lit(WORDS)) != 0)).withColumn(
         "witness", F.min("rank").over(by_key)).select("rank", "witness")
     pairs = single.union(double).filter("witness < rank").distinct()
     text = lines.select("rank", "h", F.col("line_text").alias("x"))
