@@ -61,8 +61,9 @@ _BLOCKS, _TWO = np.uint64(0xB5026F5AA96619E9), np.uint64(0xC6BC279692B5CC83)
 #: place behind it, or before it).  For characters; for words the same, shifted.
 REPLACE_FIRST, REPLACE_LAST, ITSELF, DROP_FIRST, DROP_LAST = 1, 2, 4, 8, 16
 WORD_SHIFT = 5
-#: It shares a third, for two words.
-WORDS = 1 << 10
+#: It shares its first, middle or last third with a line of as many words.
+THIRDS = [1 << 10, 1 << 11, 1 << 12]
+WORDS = sum(THIRDS)
 
 
 class Lines:
@@ -190,10 +191,18 @@ class Lines:
         n = int(self.words[i])
         return np.unique(np.append(np.arange(0, n, int(n**0.5)), n))
 
-    def block_keys(self, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(block, block, key) of line i without each pair of blocks, or one."""
-        bounds = self._blocks(i)
+    def block_keys(self, i: int, why: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(block, block, key) of line i without each pair of blocks, or one,
+        that reach beyond a third which the line shares: two lines that share a
+        third differ outside of it."""
+        bounds, n = self._blocks(i), int(self.words[i])
         a, b = np.triu_indices(len(bounds) - 1)
+        ends, asked = [0, n // 3, 2 * (n // 3), n], np.zeros(len(a), dtype=bool)
+        for k, bit in enumerate(THIRDS):
+            if why & bit:
+                beyond = (bounds[:-1] < ends[k]) | (bounds[1:] > ends[k + 1])
+                asked |= beyond[a] & beyond[b]
+        a, b = a[asked], b[asked]
         return a, b, self._without(i, a, b, _BLOCKS, bounds)
 
     def two_word_keys(self, i: int, pairs: list[tuple[int, int]]) -> np.ndarray:
@@ -326,7 +335,7 @@ def two_word_keys(lines: DataFrame) -> DataFrame:
             for a, b, _data, _off in row_chunks(batch.column("line_text"), 1 << 17):
                 x = Lines(batch.column("line_text").slice(a, b - a).to_pylist())
                 x.count_words()
-                got = [x.block_keys(i) for i in range(len(x.words))]
+                got = [x.block_keys(i, why) for i, why in enumerate(batch.column("kinds").to_numpy()[x.row + a].tolist())]
                 rows = pa.array(np.repeat(x.row + a, [len(g[0]) for g in got]))
                 pair = np.concatenate([g[0] << 32 | g[1] for g in got])
                 yield pa.RecordBatch.from_arrays(
@@ -345,7 +354,7 @@ def two_word_keys(lines: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column("rank").take(rows), _signed(key)], ["rank", "key"])
 
     by_key = Window.partitionBy("key")
-    keys = lines.select("rank", "line_text").mapInArrow(blocks, "rank long, pair long, key long")
+    keys = lines.select("rank", "kinds", "line_text").mapInArrow(blocks, "rank long, pair long, key long")
     shared = (keys.withColumn("lo", F.min("rank").over(by_key)).withColumn("hi", F.max("rank").over(by_key))
               .filter("lo != hi").groupBy("rank").agg(F.collect_list("pair").alias("pairs")))
     return lines.select("rank", "line_text").join(shared, "rank").mapInArrow(words, "rank long, key long")
@@ -379,7 +388,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
              .withColumn("hi", F.max(F.when(~longer, F.col("h"))).over(shared))
              .withColumn("has_longer", F.max("longer").over(shared)).withColumn("needed", needed).filter("needed"))
     last, shift = pos.bitwiseAND(1) != 0, F.when(pos < 4, 1).otherwise(1 << WORD_SHIFT)
-    why = F.when(pos >= 8, F.when(F.col("lo") != F.col("hi"), WORDS)).when(
+    why = F.when(pos >= 8, F.when(F.col("lo") != F.col("hi"), F.expr(f"shiftleft({THIRDS[0]}, pos - 8)"))).when(
         F.col("longer"), F.when(F.col("lo").isNotNull(), shift * F.when(last, DROP_LAST).otherwise(DROP_FIRST))).otherwise(
         shift * (F.when(F.col("lo") != F.col("hi"), F.when(last, REPLACE_LAST).otherwise(REPLACE_FIRST)).otherwise(0)
                  + F.when(F.col("has_longer"), ITSELF).otherwise(0)))
