@@ -14,6 +14,11 @@ from matchstats.operators.master import complete_matches
 from matchstats.operators.rownum import temporal_split
 from matchstats.plans.catalog import KEYS, ORDER, _inp, query
 from matchstats.session import work_table
+from matchstats.streaming.ingest import scratch_dir
+from matchstats.streaming.rolling import current_accuracy, run_rolling_stream
+
+#: Records of a feed file, and files of a micro-batch.
+FEED_RECORDS, FEED_FILES = 100_000, 64
 
 
 def scored_test_split(spark, sf):
@@ -169,3 +174,18 @@ def q_brier(spark, sf):
 def q_rolling_accuracy(spark, sf):
     """Accuracy over the last 100 scored matches."""
     return E.rolling_accuracy(scored_test_split(spark, sf), ["date", "match_id"])
+
+
+@query("rolling_accuracy_stream", _ev(f"""
+    SELECT 'heuristic' AS model, avg(CAST(label = prediction AS DOUBLE)) AS rolling_accuracy, count(*) AS n FROM (
+      SELECT * FROM ev ORDER BY date DESC, match_id DESC LIMIT {C.UPDATER_LOG_WINDOW})"""),
+       doubles=["rolling_accuracy"])
+def q_rolling_accuracy_stream(spark, sf):
+    """E8 + R3 on Structured Streaming: the scored matches arrive as files and
+    go through stateful rings of the last 100 results."""
+    work = scratch_dir(spark, "rolling")
+    scored = scored_test_split(spark, sf).select(F.lit("heuristic").alias("model"), "date", "match_id", "label", *E.PROB_COLS)
+    scored.write.option("maxRecordsPerFile", FEED_RECORDS).parquet(f"{work}/feed")
+    schema = ", ".join(f"{n} {t}" for n, t in scored.dtypes)
+    run_rolling_stream(spark, f"{work}/feed", schema, work, KEYS, max_files_per_trigger=FEED_FILES)
+    return current_accuracy(spark, work)
