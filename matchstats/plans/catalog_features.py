@@ -5,18 +5,21 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from matchstats import config as C
 from matchstats.operators import features as FE
 from matchstats.operators import learn as L
 from matchstats.operators.asof import asof_strict
+from matchstats.operators.feature_stage import LookBackFeatures
 from matchstats.operators.master import complete_matches
 from matchstats.operators.rownum import cv_folds, rank_cuts, row_numbers, temporal_split
 from matchstats.operators.teamlog import team_log
 from matchstats.operators import featstats as FS
 from matchstats.plans.catalog import KEYS, ORDER, _inp, query
 from matchstats.session import work_table
+from matchstats.streaming.ingest import scratch_dir
 
 FEATS = FE.feature_names()
 INT_FEATS = {"home_momentum", "away_momentum", "days_since_last_match_home", "days_since_last_match_away",
@@ -95,6 +98,17 @@ def q_leak_audit(spark, sf):
     return FE.leak_audit(_inp(spark, sf).master, KEYS)
 
 
+@query("feature_pipeline", "SELECT * FROM f_all", doubles=DOUBLE_FEATS, features=True)
+def q_feature_pipeline(spark, sf):
+    """W11 as a Spark ML stage: a Pipeline with it is fitted, saved, loaded
+    again, and adds the features of all complete matches."""
+    inp, work = _inp(spark, sf), scratch_dir(spark, "feature-pipeline")
+    inp.shootouts.write.parquet(f"{work}/shootouts")
+    master = work_table(inp.master, "master")
+    Pipeline(stages=[LookBackFeatures(KEYS, shootoutsPath=f"{work}/shootouts")]).fit(master).write().save(f"{work}/model")
+    return PipelineModel.load(f"{work}/model").transform(complete_matches(master))
+
+
 @query("temporal_split",
        """SELECT match_id, row_idx, CASE WHEN row_idx < floor(0.9 * n) THEN 'train' ELSE 'test' END AS split FROM (
             SELECT match_id, row_number() OVER (ORDER BY date, match_id) - 1 AS row_idx, count(*) OVER () AS n
