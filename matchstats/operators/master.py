@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matchstats.functions import scalar as S
 from matchstats.operators.goals import aggregate_goals
-from matchstats.operators.names import normalise_dimension, resolve_names
+from matchstats.operators.names import name_resolver
 
 NATURAL_KEYS = ["date", "home_team", "away_team"]
 
@@ -39,16 +39,27 @@ def build_master(results: DataFrame, goals: DataFrame, shootouts: DataFrame, for
     projections (P1-P4).  The goal aggregate and the results side are both
     hash-partitioned on the key, so J3 reuses that partitioning.
     """
+    return join_master(*resolved_inputs(results, goals, shootouts, former_names, resolve_shootouts), keys)
+
+
+def resolved_inputs(results: DataFrame, goals: DataFrame, shootouts: DataFrame, former_names: DataFrame,
+                    resolve_shootouts: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """J1 over the three tables."""
+    resolve = name_resolver(former_names)  # one match per row: no fan-out in J1
+    if resolve_shootouts:
+        shootouts = resolve(shootouts, ["home_team", "away_team", "winner"])
+    return resolve(results, ["home_team", "away_team"]), resolve(goals, ["home_team", "away_team", "team"]), shootouts
+
+
+def join_master(res: DataFrame, gs: DataFrame, sht: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """J2, J3, A1 and P1-P6 over tables with resolved names."""
     keys = keys or NATURAL_KEYS
     extra = [k for k in keys if k not in NATURAL_KEYS]
-    names = normalise_dimension(former_names)  # one match per row: no fan-out in J1
-    res = resolve_names(results, names, ["home_team", "away_team"], normalised=True)
-    sht = shootouts
-    if resolve_shootouts:
-        sht = resolve_names(sht, names, ["home_team", "away_team", "winner"], normalised=True)
-    # Rename + prune to the join key and two payload columns.
-    sht = sht.select(*keys, F.col("winner").alias("shootout_winner"), "first_shooter")
-    gs = resolve_names(goals, names, ["home_team", "away_team", "team"], normalised=True)
+    # Rename + prune to the join key and two payload columns.  One row per
+    # key (of repeated ones the least): no fan-out, and queries that use
+    # neither column don't join at all.
+    sht = sht.groupBy(*keys).agg(F.min(F.struct(F.col("winner").alias("shootout_winner"), "first_shooter")).alias("__s")) \
+        .select(*keys, "__s.*")
     gagg = aggregate_goals(gs, keys)
     master = (res.join(sht, keys, "left")
               .join(gagg, keys, "left"))

@@ -29,10 +29,30 @@ def normalise_dimension(dim: DataFrame) -> DataFrame:
     resolved here, per former name and stretch of days between two interval
     ends.  Rows with a NULL end, start or former name never match.
     """
+    rows = _bounded_rows(dim)
+    if rows is None:
+        raise ValueError(f"beyond {MAX_DIMENSION_ROWS} rows names are resolved by resolve_names_large")
+    return _normalised(dim, rows)
+
+
+def _bounded_rows(dim: DataFrame) -> list[tuple] | None:
+    """The dimension's rows in file order, None if there are too many."""
     rows = [(r["former"], r["current"], r["start_date"], r["end_date"])
             for r in dim.select("former", "current", "start_date", "end_date").limit(MAX_DIMENSION_ROWS + 1).collect()]
-    if len(rows) > MAX_DIMENSION_ROWS:
-        raise ValueError(f"a name dimension holds at most {MAX_DIMENSION_ROWS} rows")
+    return rows if len(rows) <= MAX_DIMENSION_ROWS else None
+
+
+def name_resolver(dim: DataFrame, order_cols: list[str] | None = None) -> Callable[[DataFrame, list[str]], DataFrame]:
+    """A function (table, name columns) -> table with resolved names, by the
+    size of the dimension, which is read once for all tables."""
+    rows = _bounded_rows(dim.orderBy(*order_cols) if order_cols else dim)
+    if rows is None:
+        return lambda df, cols: resolve_names_large(df, dim, cols, order_cols=order_cols)
+    names = _normalised(dim, rows)
+    return lambda df, cols: resolve_names(df, names, cols, normalised=True)
+
+
+def _normalised(dim: DataFrame, rows: list[tuple]) -> DataFrame:
     rows = [r for r in rows if None not in (r[0], r[2], r[3]) and r[2] <= r[3]]
     by_name: dict[str, list[int]] = {}
     for i, r in enumerate(rows):

@@ -8,6 +8,8 @@ same name as in the oracle.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +20,13 @@ from matchstats import config as C
 from matchstats.functions import scalar as S
 from matchstats.operators import analytics as A
 from matchstats.operators.goals import aggregate_goals, impute_minute
-from matchstats.operators.master import complete_matches, master_summary, tier_distribution
+from matchstats.operators.master import complete_matches, master_summary, resolved_inputs, tier_distribution
 from matchstats.operators.names import resolve_names, resolve_names_large
 from matchstats.operators.teamlog import all_teams, team_log
 from matchstats.plans.oracle_sql import knockout_sql, with_ctes
 from matchstats.plans.pipeline import fixture_inputs
+from matchstats.sources.bucketed import append_matches, bucketed_master
+from matchstats.streaming.ingest import scratch_dir
 
 KEYS = ["match_id"]
 ORDER = ["date", "match_id"]
@@ -94,6 +98,19 @@ def q_build_master(spark, sf):
     return _inp(spark, sf).master
 
 
+@query("bucketed_master", "SELECT * FROM master_t")
+def q_bucketed_master(spark, sf):
+    """S3 + J2 + J3: the matches up to 2000 are stored in buckets, the later
+    ones appended, and master is rebuilt without exchanging a table."""
+    inp, name = _inp(spark, sf), f"matches_{uuid.uuid4().hex}"
+    path = scratch_dir(spark, "bucketed")
+    tables = resolved_inputs(inp.results, inp.goals, inp.shootouts, inp.former_names)
+    later = F.coalesce(F.col("date") >= F.lit(dt.date(2001, 1, 1)), F.lit(False))
+    for part in (~later, later):
+        append_matches(*(t.filter(part) for t in tables), name, path, KEYS)
+    return bucketed_master(spark, name, KEYS)
+
+
 @query("flag_incomplete", "SELECT match_id, home_score, away_score, is_incomplete FROM master_t")
 def q_flag_incomplete(spark, sf):
     """P1."""
