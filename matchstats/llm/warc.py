@@ -1,9 +1,11 @@
 """Deterministic sharded WARC writer and reader (operator 1).
 
-Records are ranged by id into shards of about ``SHARD_BYTES`` of payload: a
-histogram over equal id ranges is refined where a range is too heavy, so the
-shards follow from the data alone, whatever the number of tasks.  Each shard is
-sorted and written by one task, rolled to a new file by compressed size.
+Records are ranged by id into shards of about ``SHARD_BYTES`` of payload: the
+bytes before each id, summed in the order of ids over the cluster, say in which
+shard it stands, so the shards follow from the data alone, whatever the number
+of tasks, and are planned in a fixed number of jobs.  Each shard is a partition
+of its own, sorted and written by one task, rolled to a new file by compressed
+size.
 Headers, record ids and digests are made anew; the response of
 equal payloads is the record of the largest id, the others revisit it.
 
@@ -13,8 +15,8 @@ often a task ran.  The rows are written as the manifest, then the files named
 there get their final names, then a marker file is put in place.  Every step
 can be repeated.  Readers take only files of a committed manifest.
 
-Defined results: a null payload is empty; rows without an id sort first and
-have a record id from their payload; repeated rows are written each; of equal
+Defined results: a null payload is empty; rows without an id are dealt to
+shards after the others by their payload and have a record id from it; repeated rows are written each; of equal
 payloads the largest id answers (a repeated row of that id too); an empty table
 gives an archive without files and no record; extra columns are ignored.
 """
@@ -36,14 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from matchstats.llm.common import ship_code, work_path
+from matchstats.llm.common import dropped, ship_code, work_path, written
+from matchstats.operators.rownum import prefix_sums
 
 #: Payload bytes of a shard, and compressed bytes after which a file is rolled.
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 16 << 20
-#: Ranges of a histogram, and how often it may be refined (64-bit ids).
-RANGES = 1024
-REFINEMENTS = 7
 #: Payloads of at least so many bytes are deduplicated.
 LEAST_REVISIT_BYTES = 0
 #: A date of its own would make equal input give unequal archives.
@@ -90,37 +90,17 @@ def record(page_id, url: str | None, payload: bytes, digest: str, refers_to) ->
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def shard_bounds(sizes: DataFrame, target: int) -> list[int]:
-    """Least ids of the shards after the first, from rows (page_id, bytes).
-
-    At most RANGES rows per open range and round reach the driver."""
-    span = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("bytes")).first()
-    if span[0] is None or span[2] <= target:
-        return []
-    pieces: list[tuple[int, int, int]] = []  # least id, ids, bytes
-    open_ranges = [(span[0], span[1] - span[0] + 1)]
-    for _ in range(REFINEMENTS):
-        heavy = []
-        for low, n in open_ranges:
-            width = max(1, -(-n // RANGES))
-            # in decimals: the distance of two ids may exceed a long
-            inside = sizes.filter(F.col("page_id").between(low, low + n - 1))
-            cell = F.floor((F.col("page_id").cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")) / F.lit(width).cast("decimal(38,0)"))
-            rows = inside.groupBy(cell.cast("long").alias("cell")).agg(F.sum("bytes").alias("b")).collect()
-            for r in rows:
-                piece = (low + r["cell"] * width, width, r["b"])
-                (heavy if r["b"] > target and width > 1 else pieces).append(piece)
-        open_ranges = [(low, n) for low, n, _ in heavy]
-        if not open_ranges:
-            break
-    pieces += [(low, n, target) for low, n in open_ranges]
-    bounds, filled = [], 0
-    for low, _n, b in sorted(pieces):
-        if filled and filled + b > target:
-            bounds.append(low)
-            filled = 0
-        filled += b
-    return bounds
+def plan_shards(sizes: DataFrame, target: int) -> tuple[list[int], int]:
+    """(least ids of the shards after the first, number of shards for rows
+    without an id), from rows (page_id, bytes).  One id per shard reaches the
+    driver."""
+    per_id = written(sizes.groupBy("page_id").agg(F.sum("bytes").alias("bytes"), F.lit(0).alias("one")), "page-sizes")
+    named = prefix_sums(per_id.filter("page_id IS NOT NULL"), ["one"], ["page_id"], ["bytes"])
+    shard = F.expr(f"(cum_bytes - bytes) div {int(target)}")
+    least = sorted(r["least"] for r in named.groupBy(shard.alias("s")).agg(F.min("page_id").alias("least")).collect())
+    unnamed = per_id.filter("page_id IS NULL").agg(F.sum("bytes")).first()[0]
+    dropped(per_id)
+    return least[1:], 0 if unnamed is None else max(1, -(-unnamed // target))
 
 
 class _Roller:
@@ -156,8 +136,8 @@ def write_archive(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, f
     ship_code(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce("html", F.lit("")).alias("html"))
-    bounds = shard_bounds(rows.select("page_id", F.octet_length("html").cast("long").alias("bytes")), shard_bytes)
-    edges = np.array(bounds, np.int64)
+    bounds, unnamed = plan_shards(rows.select("page_id", F.octet_length("html").cast("long").alias("bytes")), shard_bytes)
+    edges, shards = np.array(bounds, np.int64), len(bounds) + 1
 
     # one narrow row per page decides what answers for its payload
     digest = F.unhex(F.sha1("html"))
@@ -206,7 +186,9 @@ def write_archive(pages: DataFrame, path: str, shard_bytes: int = SHARD_BYTES, f
 
     fs, root = filesystem(path)
     fs.create_dir(posixpath.join(root, "_temporary"), recursive=True)
-    dealt = (both.withColumn("shard", shard_of("page_id")).repartition(len(bounds) + 1, "shard")
+    spread = F.lit(shards) + F.pmod(F.xxhash64("digest"), F.lit(max(1, unnamed))).cast("int")
+    shard = F.when(F.col("page_id").isNull(), spread).otherwise(shard_of("page_id"))
+    dealt = (both.withColumn("shard", shard).repartitionById(shards + unnamed, F.col("shard"))
              .sortWithinPartitions("shard", "page_id", "digest", "o", "url"))
     dealt.mapInArrow(run, MANIFEST).write.parquet(f"{path}/_manifest")
     commit(spark, path)
