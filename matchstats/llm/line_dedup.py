@@ -27,7 +27,8 @@ without one word of each, again with the earliest as witness for all.
 Defined results: a null text stays null; lines of fewer words always stay, so
 do blank ones; spaces round a line do not count; a repeated row (same doc_id
 and text) shares the fate of its copy; of rows with one doc_id the text's hash
-decides; an empty table gives an empty result; all columns of the input stay.
+decides; an empty table gives an empty result; all columns of the input stay,
+but for those named like the three it adds (tkey, n_lines, n_dropped).
 """
 
 from __future__ import annotations
@@ -441,12 +442,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         .select("h", F.struct("first.doc_id", "first.tkey", "first.line").alias("place"),
                 F.col("first.words").alias("words"), F.col("first.halves").alias("halves")), "lines")
     kept = distinct.select("h", "place").join(near_lines(docs, distinct), "h", "left_anti")
-    per_doc = kept.groupBy(F.col("place.doc_id").alias("k_doc"), F.col("place.tkey").alias("k_key")).agg(
-        F.collect_list("place.line").alias("kept_lines"))
-    rows = docs.withColumn("tkey", text_key())
-    same = rows["doc_id"].cast("long").eqNullSafe(per_doc["k_doc"]) & (rows["tkey"] == per_doc["k_key"])
-    joined = rows.join(per_doc, same, "left").drop("k_doc", "k_key")
-    names = [c for c in joined.columns if c not in ("text", "kept_lines")]
+    per_doc = kept.groupBy(F.col("place.doc_id").alias("__kept_doc"), F.col("place.tkey").alias("__kept_key")).agg(
+        F.collect_list("place.line").alias("__kept_lines"))
+    rows = docs.drop("n_lines", "n_dropped").withColumn("tkey", text_key())
+    same = rows["doc_id"].cast("long").eqNullSafe(per_doc["__kept_doc"]) & (rows["tkey"] == per_doc["__kept_key"])
+    joined = rows.join(per_doc, same, "left").drop("__kept_doc", "__kept_key")
+    names = [c for c in joined.columns if c not in ("text", "__kept_lines")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -454,7 +455,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                 part = batch.slice(a, b - a)
                 texts = part.column("text").to_pylist()
                 x = Lines([t or "" for t in texts])
-                keep = part.column("kept_lines").to_pylist()
+                keep = part.column("__kept_lines").to_pylist()
                 lost: list[set[int]] = [set() for _ in texts]
                 for r, i in zip(x.row.tolist(), x.number.tolist()):
                     lost[r].add(i)
@@ -470,4 +471,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     types = dict(joined.dtypes)
     ddl = ", ".join(f"`{c}` {types[c]}" for c in names) + ", text string, n_lines long, n_dropped long"
-    return joined.select(*names, "text", "kept_lines").mapInArrow(run, ddl)
+    return joined.select(*names, "text", "__kept_lines").mapInArrow(run, ddl)

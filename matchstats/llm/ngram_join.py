@@ -359,6 +359,7 @@ def ngram_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100)
     rooted = described.join(roots, described["sid"] == roots["node"], "left").select(
         "doc_id", "tkey", F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.coalesce("root", "sid")).alias("root"))
-    names = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # a table of its own: the join below may then split a root with many rows
+    names = written(rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return rooted.join(names, "root", "left").select(
         "doc_id", "tkey", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
