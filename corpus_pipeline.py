@@ -27,23 +27,25 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 def _among(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose (doc_id, text) is among ``rows`` (doc_id, tkey);
     equal rows come back as often as they are there."""
-    keyed = docs.withColumn("tkey", text_key())
-    keys = rows.select(F.col("doc_id").alias("k_doc"), F.col("tkey").alias("k_text")).distinct()
-    same = keyed["doc_id"].eqNullSafe(keys["k_doc"]) & (keyed["tkey"] == keys["k_text"])
-    return keyed.join(keys, same, "left_semi")
+    keyed = docs.withColumn("__tkey", text_key())
+    keys = rows.select(F.col("doc_id").alias("__doc"), F.col("tkey").alias("__text")).distinct()
+    same = keyed["doc_id"].eqNullSafe(keys["__doc"]) & (keyed["__tkey"] == keys["__text"])
+    return keyed.join(keys, same, "left_semi").select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     judged = quality_rules(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return _among(docs, judged.filter("kept")).drop("tkey")
+    return _among(docs, judged.filter("kept"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that stand earlier; n_chars follows."""
-    out = dedup_lines(docs)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]  # packed: their names can't meet the operator's
+    out = dedup_lines(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
     chars = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, chars).otherwise(F.col("n_chars"))).select(*docs.columns)
+    n_chars = F.when(F.col("n_dropped") > 0, chars).otherwise(F.col("rest.n_chars")).alias("n_chars")
+    return out.select(*[c if c in ("doc_id", "text") else n_chars if c == "n_chars" else F.col("rest")[c].alias(c) for c in docs.columns])
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,14 +56,14 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     unnamed = linked.select("k.*")
     single = found.filter("n_shingles = 0").select("doc_id", "tkey")
     kept = _among(docs, unnamed.union(single))
-    w = Window.partitionBy("doc_id", "tkey").orderBy(*[c for c in docs.columns if c != "text"])
-    return kept.withColumn("copy", F.row_number().over(w)).filter("copy = 1").select(*docs.columns)
+    w = Window.partitionBy("doc_id", text_key()).orderBy(*[c for c in docs.columns if c != "text"])
+    return kept.withColumn("__copy", F.row_number().over(w)).filter("__copy = 1").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
     judged = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return _among(docs, judged.filter(~F.col("contaminated"))).drop("tkey")
+    return _among(docs, judged.filter(~F.col("contaminated")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
