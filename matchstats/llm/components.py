@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchstats.llm.common import written
+from matchstats.llm.common import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(down.select("a", F.col("m").alias("b"))).filter("a != b").distinct())
-        edges = written(small, "links")
+        before, edges = edges, written(small, "links")
+        dropped(before)
         now = state(edges)
         if now == seen:
             break

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchstats.llm.common import bitmap_of, in_bitmap, ship_code, text_key, written
+from matchstats.llm.common import bitmap_of, dropped, in_bitmap, ship_code, text_key, written
 from matchstats.llm.components import components
 from matchstats.llm.wordtable import Words, mixed, row_chunks, run_hash, words
 
@@ -185,7 +185,10 @@ def product_links(docs: DataFrame, n: int, pairs: DataFrame, described: DataFram
     rows = pairs.join(matrix.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a").join(
         matrix.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b")
     overlap = F.size(F.array_intersect("ga", "gb"))
-    return rows.filter(F.lit(den) * overlap >= F.lit(num) * (F.size("ga") + F.size("gb") - overlap)).select("a", "b")
+    links = rows.filter(F.lit(den) * overlap >= F.lit(num) * (F.size("ga") + F.size("gb") - overlap)).select("a", "b")
+    links = written(links, "product-links")
+    dropped(matrix)  # the largest work table
+    return links
 
 
 def most_different(size_a, size_b, num: int, den: int):
@@ -348,13 +351,20 @@ def ngram_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100)
         .select("key", "sid", "size", F.col("p")["sid"].alias("pivot"), F.col("p")["size"].alias("pivot_size")),
         "blocks")
     pairs = written(pivot_pairs(blocks, rows, num, den), "pivot-pairs")
-    links = written(product_links(docs, n, pairs, full, num, den), "pivot-links")
+    links = product_links(docs, n, pairs, full, num, den)
+    dropped(pairs)
     roots = components(links)
     for spanning in (True, False):
         more = written(tile_pairs(blocks, rows, roots, num, den, spanning), "tile-pairs")
         if not more.isEmpty():
-            links = written(links.union(product_links(docs, n, more, full, num, den)), "tile-links")
+            found = product_links(docs, n, more, full, num, den)
+            before, links = links, written(links.union(found), "tile-links")
+            for table in (before, found):
+                dropped(table)
             roots = components(links)
+        dropped(more)
+    for table in (blocks, links):
+        dropped(table)
 
     rooted = described.join(roots, described["sid"] == roots["node"], "left").select(
         "doc_id", "tkey", F.col("size").alias("n_shingles"),
