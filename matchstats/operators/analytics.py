@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from matchstats import config as C
 from matchstats.functions import scalar as S
+from matchstats.operators.lookup import lookup_table
 from matchstats.operators.master import complete_matches
 from matchstats.operators.teamlog import team_log
 
@@ -196,19 +197,18 @@ def top_scorers(goals: DataFrame, n: int = 20, team: str | None = None) -> DataF
     """A14 + T5: exclude own goals and NULL scorers; goals = count,
     penalties = sum, team = most frequent team (ties -> smallest name).
 
-    The mode is a second grouped count on (scorer, team) ranked per scorer,
-    so no scorer's goal list is ever collected into one buffer.
+    The goals are read and combined once, by (scorer, team); a scorer's
+    goals, penalties and most frequent team follow from that small table.
     """
     g = goals.filter(~F.col("own_goal") & F.col("scorer").isNotNull())
     if team is not None:
         g = g.filter(F.col("team") == team)
-    per = g.groupBy("scorer").agg(F.count(F.lit(1)).alias("goals"),
-                                  F.sum(F.col("penalty").cast("long")).alias("penalties"))
-    st = g.groupBy("scorer", "team").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy("scorer").orderBy(F.col("__n").desc(), F.col("team").asc())
-    mode = st.withColumn("__r", F.row_number().over(w)).filter("__r = 1").select("scorer", "team")
-    return (per.join(mode, "scorer")
-            .orderBy(F.col("goals").desc(), F.col("scorer").asc()).limit(n))
+    per_team = g.groupBy("scorer", "team").agg(F.count(F.lit(1)).alias("n"),
+                                               F.sum(F.col("penalty").cast("long")).alias("pen"))
+    most = F.min(F.struct((-F.col("n")).alias("n"), "team"))
+    per = per_team.groupBy("scorer").agg(F.sum("n").alias("goals"), F.sum("pen").alias("penalties"),
+                                         most["team"].alias("team"))
+    return per.orderBy(F.col("goals").desc(), F.col("scorer").asc()).limit(n)
 
 
 def top_scorers_from_source(scorers: DataFrame, n: int = 20) -> DataFrame:
@@ -417,15 +417,13 @@ def heuristic_predict(fixtures: DataFrame, records: DataFrame) -> DataFrame:
 
     wh, wa = win rates (a team without a record counts played 1, wins 0);
     wh *= 1.15 unless neutral; t = wh + wa + 0.25; ph = wh/t, pa = wa/t,
-    pd = max(0, 1 - ph - pa); renormalise.  Records are one row per team
-    and are broadcast by AQE when their measured size allows.
+    pd = max(0, 1 - ph - pa); renormalise.  Records are one row per team:
+    a counted, broadcast lookup, so the fixtures of a hot team stay where
+    they are.
     """
-    # One row per team: AQE broadcasts it from its measured size (no extra
-    # pass to count it); past the threshold, skew-join splitting handles a
-    # team that holds a large share of the fixtures.
-    r = records.select("team", (F.col("wins") / F.greatest("played", F.lit(1))).alias("rate"))
-    j = (fixtures.join(r.withColumnRenamed("team", "home_team").withColumnRenamed("rate", "__wh"), "home_team", "left")
-         .join(r.withColumnRenamed("team", "away_team").withColumnRenamed("rate", "__wa"), "away_team", "left"))
+    r = lookup_table(records.select("team", (F.col("wins") / F.greatest("played", F.lit(1))).alias("rate")), "records")
+    j = (fixtures.join(r.toDF("home_team", "__wh"), "home_team", "left")
+         .join(r.toDF("away_team", "__wa"), "away_team", "left"))
     wh = F.coalesce(F.col("__wh"), F.lit(0.0))
     wh = F.when(F.coalesce(F.col("neutral"), F.lit(False)), wh).otherwise(wh * C.HOME_BOOST)
     wa = F.coalesce(F.col("__wa"), F.lit(0.0))

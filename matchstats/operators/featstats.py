@@ -56,23 +56,38 @@ def _long(fm: DataFrame, feats: list[str]) -> DataFrame:
 def feature_histogram(fm: DataFrame, feats: list[str], bins: int = 30) -> DataFrame:
     """Features with <= 3 distinct values -> value counts; others ->
     ``bins`` equal-width bins between min and max (last bin closed).
-    Per-feature min / max / distinct count form a 45-row table that is
-    broadcast back to the long form."""
-    lf = _long(fm, feats)
-    st = lf.groupBy("feature").agg(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                   F.count_distinct("v").alias("nd"))
-    j = lf.join(F.broadcast(st), "feature")
-    binned = F.when(F.col("nd") <= 3, F.lit(None)).when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("v") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
-    ).cast("int")
-    j = j.withColumn("bin", binned)
-    is_val = F.col("nd") <= 3
-    return j.groupBy(
-        "feature", F.when(is_val, F.lit("value")).otherwise(F.lit("bin")).alias("kind"), "bin",
-        F.when(is_val, F.col("v")).otherwise(F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("lower"),
-        F.when(is_val, F.col("v")).otherwise(
-            F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("upper"),
-    ).agg(F.count(F.lit(1)).alias("n"))
+
+    Two readings: one row of bounds, then one aggregate by (feature, bin).
+    A feature has at most three values when all of its values strictly
+    between the bounds are equal, which the least and greatest of them tell;
+    no distinct count is needed."""
+    cast = fm.select(*[F.col(f).cast("double").alias(f) for f in feats])
+    bounds = cast.agg(*[F.struct(F.min(f).alias("lo"), F.max(f).alias("hi")).alias(f) for f in feats])
+    st = bounds.unpivot([], feats, "feature", "r").select("feature", "r.lo", "r.hi")  # a row per feature
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    span = hi - lo
+    binned = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((v - lo) * bins / span), F.lit(bins - 1))).cast("int")
+    inner = F.when((v > lo) & (v < hi), v)
+    per = _long(fm, feats).join(F.broadcast(st), "feature").groupBy("feature", "lo", "hi", binned.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(v == lo, 1)).alias("n_lo"), F.count(F.when(v == hi, 1)).alias("n_hi"),
+        F.min(inner).alias("mid"), F.max(inner).alias("mid_2"), F.count(inner).alias("n_mid"))
+    tot = per.groupBy("feature", "lo", "hi").agg(
+        F.collect_list(F.struct("bin", "n")).alias("b"),  # at most bins + 1
+        F.sum("n_lo").alias("n_lo"), F.sum("n_hi").alias("n_hi"), F.min("mid").alias("mid"), F.max("mid_2").alias("mid_2"),
+        F.sum("n_mid").alias("n_mid"), F.sum(F.when(F.col("bin").isNull(), F.col("n")).otherwise(0)).alias("n_none"))
+
+    def row(kind, b, lower, upper, n):
+        return F.struct(F.lit(kind).alias("kind"), b.cast("int").alias("bin"), lower.cast("double").alias("lower"),
+                        upper.cast("double").alias("upper"), n.cast("long").alias("n"))
+
+    none = F.lit(None)
+    values = F.filter(F.array(
+        row("value", none, lo, lo, F.col("n_lo")), row("value", none, hi, hi, F.when(hi > lo, F.col("n_hi")).otherwise(0)),
+        row("value", none, F.col("mid"), F.col("mid"), F.col("n_mid")), row("value", none, none, none, F.col("n_none"))),
+        lambda x: x["n"] > 0)
+    in_bins = F.transform("b", lambda x: row("bin", x["bin"], lo + x["bin"] * span / bins, lo + (x["bin"] + 1) * span / bins, x["n"]))
+    few = F.coalesce(F.col("mid") == F.col("mid_2"), F.lit(True))
+    return tot.select("feature", F.explode(F.when(few, values).otherwise(in_bins)).alias("r")).select("feature", "r.*")
 
 
 def feature_summary(fm: DataFrame, feats: list[str]) -> DataFrame:
@@ -93,12 +108,16 @@ def standardise(fm: DataFrame, feats: list[str], id_cols: list[str]) -> DataFram
 
 def class_weights(fm: DataFrame, id_cols: list[str]) -> DataFrame:
     """M6: balanced weight n / (k * n_c) per class (row counts), times
-    match_weight for LR / RF / extra trees; boosting uses match_weight."""
+    match_weight for LR / RF / extra trees; boosting uses match_weight.
+
+    Two readings of ``fm``: the class counts, which give n and k too (one row
+    with a map of at most a few classes), and the rows."""
     lab = fm.select(*id_cols, "match_weight", S.encode_result("result").alias("label"))
-    counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("__nc"))
-    n = lab.agg(F.count(F.lit(1))).scalar()
-    k = counts.agg(F.count(F.lit(1))).scalar()
-    j = lab.join(F.broadcast(counts), "label")
-    return j.select(*id_cols, "label", (n / (k * F.col("__nc"))).alias("class_weight"),
-                    (n / (k * F.col("__nc")) * F.col("match_weight")).alias("sample_weight"),
+    counts = lab.groupBy("label").agg(F.count(F.lit(1)).alias("nc"))
+    entry = F.struct("label", F.col("nc"))
+    found = counts.agg(F.struct(F.sum("nc").alias("n"), F.count(F.lit(1)).alias("k"), F.map_from_entries(
+        F.collect_list(F.when(F.col("label").isNotNull(), entry))).alias("nc"))).scalar()
+    j = lab.filter(F.col("label").isNotNull()).withColumn("__c", found)
+    weight = F.col("__c.n") / (F.col("__c.k") * F.element_at("__c.nc", F.col("label")))
+    return j.select(*id_cols, "label", weight.alias("class_weight"), (weight * F.col("match_weight")).alias("sample_weight"),
                     F.col("match_weight").cast("double").alias("boost_weight"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchstats.operators.lookup import lookup_table
+from matchstats.session import work_table
+
 GOAL_AGG_COLS = ["home_goal_count", "away_goal_count", "home_penalty_count",
                  "away_penalty_count", "home_own_goals", "away_own_goals", "total_goals"]
 
@@ -49,21 +52,25 @@ def impute_minute(goals: DataFrame, matches: DataFrame | None = None, keys: list
     """Fill NULL minutes with the median of their ``group_col``, then
     with the global median of the result.
 
-    Group medians come from a grouped aggregate (exact ``median``, whose
-    buffer holds one counter per distinct minute, so it stays small) joined
-    back on the group key; the global median is a scalar subquery.  No
-    window over the whole table, no cross join.
+    One aggregate of the goals counts them by (group, minute): a row per
+    group and distinct minute, combined before its shuffle.  Both medians
+    follow from the counts, the global one after the group medians have taken
+    the place of the missing minutes.  The goals keep their partitions: group
+    medians come by a counted, broadcast lookup, however hot a group is.
     """
     g = goals
     if group_col not in g.columns and matches is not None:
         g = g.join(matches.select(*keys, group_col), keys, "left")
-    if group_col in g.columns:
-        med = g.groupBy(group_col).agg(F.median("minute").alias("__grp_median"))
-        # One row per group.  AQE broadcasts it from the measured size of the
-        # finished aggregate (no extra counting pass over the goals); beyond
-        # the threshold the join stays a shuffle join with skew splitting.
-        g = g.join(med, g[group_col].eqNullSafe(med[group_col]), "left") \
-            .drop(med[group_col]).withColumn(
-            "minute", F.coalesce(F.col("minute").cast("double"), F.col("__grp_median"))).drop("__grp_median")
-    glob = g.agg(F.median("minute")).scalar()
-    return g.withColumn("minute", F.coalesce(F.col("minute").cast("double"), glob))
+    minute = F.col("minute").cast("double")
+    if group_col not in g.columns:
+        return g.withColumn("minute", F.coalesce(minute, g.agg(F.median("minute")).scalar()))
+    counts = work_table(g.groupBy(F.col(group_col).alias("__g"), minute.alias("__m")).agg(F.count(F.lit(1)).alias("__n")),
+                        "minutes")
+    known = counts.groupBy("__g").agg(F.percentile("__m", F.lit(0.5), F.col("__n")).alias("__med"),
+                                      F.sum(F.when(F.col("__m").isNull(), F.col("__n")).otherwise(0)).alias("__none"))
+    filled = counts.filter("__m IS NOT NULL").select("__m", "__n").unionByName(
+        known.filter("__none > 0").select(F.col("__med").alias("__m"), F.col("__none").alias("__n")))
+    glob = filled.agg(F.percentile("__m", F.lit(0.5), F.col("__n"))).scalar()
+    med = lookup_table(known.select("__g", "__med"), "medians")
+    return (g.join(med, g[group_col].eqNullSafe(med["__g"]), "left")
+            .withColumn("minute", F.coalesce(minute, F.col("__med"), glob)).drop("__g", "__med"))
