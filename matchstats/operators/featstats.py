@@ -60,13 +60,14 @@ def feature_histogram(fm: DataFrame, feats: list[str], bins: int = 30) -> DataFr
     Two readings: one row of bounds, then one aggregate by (feature, bin).
     A feature has at most three values when all of its values strictly
     between the bounds are equal, which the least and greatest of them tell;
-    no distinct count is needed."""
+    no distinct count is needed.  Nulls are a row of their own (null bounds)."""
     cast = fm.select(*[F.col(f).cast("double").alias(f) for f in feats])
     bounds = cast.agg(*[F.struct(F.min(f).alias("lo"), F.max(f).alias("hi")).alias(f) for f in feats])
     st = bounds.unpivot([], feats, "feature", "r").select("feature", "r.lo", "r.hi")  # a row per feature
     v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
     span = hi - lo
-    binned = F.when(hi == lo, F.lit(0)).otherwise(F.least(F.floor((v - lo) * bins / span), F.lit(bins - 1))).cast("int")
+    binned = F.when(v.isNull(), F.lit(None)).when(hi == lo, F.lit(0)).otherwise(  # least() alone would skip the null
+        F.least(F.floor((v - lo) * bins / span), F.lit(bins - 1))).cast("int")
     inner = F.when((v > lo) & (v < hi), v)
     per = _long(fm, feats).join(F.broadcast(st), "feature").groupBy("feature", "lo", "hi", binned.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(v == lo, 1)).alias("n_lo"), F.count(F.when(v == hi, 1)).alias("n_hi"),
