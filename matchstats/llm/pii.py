@@ -1,21 +1,27 @@
 """Personal data by weak supervision (operator 5), DataFrame functions only.
 
-Patterns propose spans: the four base patterns, and wider ones (numbers that
-fail the card check, national phone forms, written-out mail signs).  Labelers
-vote on each span, for, against, or not at all: its own check (regex), lists of
-known prefixes and endings (gazetteer), and the words before it (context).
-Spans with equal kind and votes are one row of a small table; on it
-expectation-maximisation estimates every labeler's reliability and each row's
-probability.  A logistic classifier is then trained on those probabilities,
-over span features.  Base spans that pass their check always stay; of the
-others, those stay that the classifier accepts and that overlap no base span.
+Patterns propose spans: the four base patterns, whose matches that fail their
+check stay proposals, and wider ones (mail addresses written out or spaced,
+addresses with their dots hidden or of version 6, cards in other groups,
+national, short and 00 phone forms, values assigned to a name).  Labelers vote
+on each span, for, against, or not at all: its own check (digits, check sums,
+variety), lists of known prefixes, endings and names (gazetteer), the words
+before it (context) and what it touches (edges).  Spans with equal pattern,
+votes and features are one row of a small table; on it expectation-maximisation
+estimates every labeler's reliability by kind and every pattern's share of
+right spans.  A logistic classifier is then trained on those probabilities,
+over the span's pattern, size and share of digits beside its check, list and
+context votes; every pattern weighs the same in it, however rare.  A span that
+fails its own check is wrong by definition: it teaches the rates on wrong spans.  Base spans that
+pass their check always stay; of the others, those stay that the classifier
+accepts, that overlap no base span and lie within no longer span that stays.
 
 Defined results: null and empty texts have no span; repeated rows get the same
 result each; equal starts are ordered by kind; an empty table gives an empty
 result and an untrained model; extra columns are ignored.  Patterns take each
 character a bounded number of times (possessive loops, starts only where a run
 begins), so long texts stay linear.  Only spans are shuffled, never texts; the
-model sees at most 3 votes per labeler and kind, whatever the corpus.
+model sees at most ``MODEL_ROWS`` rows, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -28,10 +34,14 @@ from pyspark.sql import functions as F
 
 from matchstats.llm.common import text_key, written
 
-#: Kinds in their order; fixed by the result's definition.
+#: Kinds in their order; fixed by the result's definition.  Added kinds follow.
 KINDS = ["email", "ip", "card", "phone"]
+ALL_KINDS = [*KINDS, "secret"]
 
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
+_DOT = r"(?:\.|\[\.\]|\(\.\)|\[dot\]|\(dot\))"
+_APART = r"(?:[._/]|--| - |  )"
+_SECRET = "[A-Za-z0-9+/_-]"
 #: Candidates: name -> (kind, pattern, what a text must hold for a match).
 #: ``\\G`` lets a match start where the last one ended inside a run.
 PATTERNS = {
@@ -39,8 +49,16 @@ PATTERNS = {
     "ip": ("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "digit"),
     "card": ("card", r"[0-9](?:[\x20-]?[0-9])++", "digit"),
     "phone": ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "digit"),
-    "email_written": ("email", rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:\[at\]|\(at\)) ?{_LABEL}++(?: ?(?:\.|\[dot\]|\(dot\)) ?{_LABEL}++)++", "("),
+    "email_written": ("email", rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:\[at\]|\(at\)) ?{_LABEL}++(?: ?(?:\.|\[dot\]|\(dot\)) ?{_LABEL}++)++", "(at)"),
+    "email_words": ("email", rf"(?<!{_LOCAL}){_LOCAL}++ at {_LABEL}++(?: dot {_LABEL}++)++", "dot"),
+    "email_spaced": ("email", rf"(?<!{_LOCAL}){_LOCAL}++ ?@ ?{_LABEL}++(?: ?\. ?{_LABEL}++)++", "@"),
+    "ip_hidden": ("ip", rf"(?<![0-9])[0-9]{{1,3}}+(?:{_DOT}[0-9]{{1,3}}+){{3}}(?![0-9])", "(.)"),
+    "ip_long": ("ip", r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", "assign"),
+    "card_apart": ("card", rf"(?<![0-9])[0-9]{{4}}(?:{_APART}[0-9]{{4}}){{3}}(?![0-9])", "digit"),
     "phone_national": ("phone", r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])", "digit"),
+    "phone_00": ("phone", r"(?<![0-9+.-])00[1-9][0-9]{0,2}(?:[ .-][0-9]{2,5}){2,4}(?![0-9.-])", "digit"),
+    "phone_short": ("phone", r"(?<![0-9+.-])[0-9]{3}-[0-9]{4}(?![0-9.-])", "digit"),
+    "assigned": ("secret", rf"(?<!{_SECRET})(?={_SECRET}{{16}})(?<=[:=] ?[\"']?){_SECRET}++", "assign"),
 }
 BASE = list(KINDS)
 
@@ -50,13 +68,25 @@ CALLING_CODES = ["1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39",
                  "48", "49", "51", "52", "54", "55", "61", "64", "65", "81", "82", "86", "90", "91"]
 CARD_PREFIXES = "^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
 RESERVED_IP = r"^(?:0|10|127|22[4-9]|2[3-5][0-9])\."
+#: Names whose assigned value is secret, before the sign and an opening quote.
+SECRET_NAMES = r"(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth|bearer)[\"']? ?[:=] ?[\"']?$"
 #: Words before a span that speak for and against each kind.
 FOR = {"email": "mail|contact|write|reach", "ip": r"\bip\b|address|host|server|client",
-       "card": "card|visa|master|amex|credit|pay", "phone": "phone|tel|call|mobile|fax|contact|number"}
+       "card": "card|visa|master|amex|credit|pay", "phone": "phone|tel|call|mobile|fax|contact|number", "secret": "config|login|credential|export|header|auth|token|key"}
 AGAINST = {"email": "example|regex", "ip": r"version|\bv$|release|section", "card": r"isbn|order|serial|\bid\b|part",
-           "phone": r"isbn|serial|\bid\b|version|date"}
+           "phone": r"isbn|serial|\bid\b|version|date", "secret": "sha|digest|checksum|hash|commit|example"}
+#: Patterns too plain to be right without a word for them.
+NEEDS_CONTEXT = ["phone_short"]
 CONTEXT_CHARS = 40
-LABELERS = ["check", "gazetteer", "context"]
+LABELERS = ["check", "gazetteer", "context", "edges"]
+#: Where estimation starts: a labeler's rates of voting 1 on right and on wrong
+#: spans, and how many spans this counts for.
+START = {"check": (0.95, 0.1), "gazetteer": (0.85, 0.4), "context": (0.7, 0.3), "edges": (0.9, 0.6)}
+START_ROWS = 10
+#: Features of the classifier and how many values each can take; with the
+#: votes they bound the table that reaches the driver.
+FEATURES = {"name": len(PATTERNS), "size": 7, "digits": 4, "check": 3, "gazetteer": 3, "context": 3}
+MODEL_ROWS = len(PATTERNS) * 7 * 4 * 3 ** len(LABELERS)
 
 EM_ROUNDS = 50
 CLASSIFIER_ROUNDS = 400
@@ -91,11 +121,19 @@ def base_check(name: Column, found: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, tkey, name, kind, start, end, found, before: a row per match,
-    one set of them per distinct (doc_id, text)."""
+    """doc_id, tkey, name, kind, start, end, found, before, after: a row per
+    match, one set of them per distinct (doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    has = {"digit": text.rlike("[0-9]"), "@": F.contains(text, F.lit("@")),
-           "(": F.contains(text, F.lit("at)")) | F.contains(text, F.lit("at]"))}
+    digit = text.rlike("[0-9]")
+
+    def holds(*parts):
+        found = F.lit(False)
+        for p in parts:
+            found = found | F.contains(text, F.lit(p))
+        return found
+
+    has = {"digit": digit, "@": holds("@"), "(at)": holds("at)", "at]"), "dot": holds(" dot "),
+           "(.)": digit & holds("[.]", "(.)", "[dot]", "(dot)"), "assign": digit & holds(":", "=")}
     keyed = docs.select("doc_id", text_key(), text.alias("text"),
                         *[c.alias(f"has_{i}") for i, c in enumerate(has.values())])
     flags = {k: F.col(f"has_{i}") for i, k in enumerate(has)}
@@ -114,13 +152,14 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.posexplode(F.transform(F.col("m.found"), lambda x, i: F.struct(
             x.alias("found"), F.length(F.get("gaps", i)).cast("long").alias("gap"),
             F.substring(F.get("gaps", i), F.greatest(F.length(F.get("gaps", i)) - F.lit(CONTEXT_CHARS - 1), F.lit(1)),
-                        F.lit(CONTEXT_CHARS)).alias("before")))).alias("i", "f"))
-    rows = rows.select("doc_id", "tkey", "name", "kind", "i", "f.found", "f.gap", "f.before").dropDuplicates(
+                        F.lit(CONTEXT_CHARS)).alias("before"),
+            F.substring(F.get("gaps", i + 1), 1, 1).alias("after")))).alias("i", "f"))
+    rows = rows.select("doc_id", "tkey", "name", "kind", "i", "f.found", "f.gap", "f.before", "f.after").dropDuplicates(
         ["doc_id", "tkey", "name", "i"])
     w = Window.partitionBy("doc_id", "tkey", "name").orderBy("i")
     end = F.sum(F.col("gap") + F.length("found")).over(w)
     return rows.withColumn("end", end).select(
-        "doc_id", "tkey", "name", "kind", (F.col("end") - F.length("found")).alias("start"), "end", "found", "before")
+        "doc_id", "tkey", "name", "kind", (F.col("end") - F.length("found")).alias("start"), "end", "found", "before", "after")
 
 
 def voted(spans: DataFrame) -> DataFrame:
@@ -128,126 +167,169 @@ def voted(spans: DataFrame) -> DataFrame:
     name, kind, found = F.col("name"), F.col("kind"), F.col("found")
     d = _digits(found)
     base = F.coalesce(base_check(name, found), F.lit(False))
-    shaped = F.when(name == "email_written", True).when(name == "phone_national", F.length(d) == 10).otherwise(base)
+    varied = found.rlike("[0-9]") & found.rlike("[A-Za-z]") & (F.array_size(F.array_distinct(F.split(found, ""))) >= 8)
+    plain = F.regexp_replace(found, _DOT, ".")
+    shaped = (F.when(name.isin(BASE), base.cast("int"))
+              .when(name.isin(["email_written", "email_words", "email_spaced", "ip_long"]), 1)
+              .when(name == "ip_hidden", _octets(plain).cast("int"))
+              .when(name == "card_apart", _luhn(d).cast("int"))
+              .when(name == "phone_national", (F.length(d) == 10).cast("int"))
+              .when(name == "phone_00", F.length(d).between(10, 15).cast("int"))
+              .when(name == "assigned", varied.cast("int")).otherwise(-1))
     ending = F.lower(F.regexp_extract(found, r"([A-Za-z]+)$", 1)).isin(MAIL_ENDINGS)
     code = F.lit(False)
     for c in CALLING_CODES:
-        code = code | F.startswith(found, F.lit(f"+{c}"))
-    known = (F.when(kind == "email", ending).when(kind == "ip", ~found.rlike(RESERVED_IP))
-             .when(kind == "card", d.rlike(CARD_PREFIXES) & F.length(d).between(13, 19))
-             .otherwise(code | (name == "phone_national")))
-    before = F.lower("before")
+        code = code | F.startswith(found, F.lit(f"+{c}")) | F.startswith(found, F.lit(f"00{c}"))
+    before = F.lower(F.regexp_extract("before", r"[^\n]*\z", 0))  # of the span's own line
+    known = (F.when(kind == "email", ending.cast("int")).when(name == "ip_long", -1)
+             .when(kind == "ip", (~plain.rlike(RESERVED_IP)).cast("int"))
+             .when(kind == "card", (d.rlike(CARD_PREFIXES) & F.length(d).between(13, 19)).cast("int"))
+             .when(kind == "secret", before.rlike(SECRET_NAMES).cast("int"))
+             .when(name.isin(["phone_national", "phone_short"]), -1).otherwise(code.cast("int")))
     says = F.lit(-1)
-    for k in KINDS:
+    for k in ALL_KINDS:
         says = F.when((kind == k) & before.rlike(AGAINST[k]), 0).when((kind == k) & before.rlike(FOR[k]), 1).otherwise(says)
+    says = F.when(name.isin(NEEDS_CONTEXT) & (says == -1), 0).otherwise(says)
+    # part of a longer word, number or path
+    glued = before.rlike(r"[\p{L}0-9_/#.-]$") | F.coalesce(F.col("after"), F.lit("")).rlike(r"[\p{L}0-9_/#-]")
     digits = F.floor(F.lit(4) * F.length(d) / F.length(found)).cast("int")
     return spans.select(
         "*", base.alias("is_base"), shaped.cast("int").alias("check"), known.cast("int").alias("gazetteer"),
-        says.alias("context"), F.least(F.floor(F.length(found) / 6), F.lit(6)).cast("int").alias("size"),
+        says.cast("int").alias("context"), (~glued).cast("int").alias("edges"),
+        F.least(F.floor(F.length(found) / 6), F.lit(6)).cast("int").alias("size"),
         F.least(digits, F.lit(3)).alias("digits"))
 
 
 def reliabilities(counts: list[dict]) -> tuple[dict, dict]:
-    """EM over rows (kind, votes, n).  Returns P(span is right | kind, votes)
-    and, by kind, the prior and each labeler's rates of voting 1 on right and
-    on wrong spans.  At most len(KINDS) * 3 ** len(LABELERS) rows."""
+    """EM over rows (name, kind, votes, n).  Returns P(span is right | name,
+    votes), and by kind each labeler's rates of voting 1 on right and on wrong
+    spans, with every pattern's prior.  A row without a name is its kind's."""
     post, model = {}, {}
-    for kind in KINDS:
-        rows = [(tuple(r[x] for x in LABELERS), r["n"]) for r in counts if r["kind"] == kind]
+    labelers = [x for x in LABELERS if all(x in r for r in counts)]
+    for kind in ALL_KINDS:
         merged: dict[tuple, int] = {}
-        for v, n in rows:
-            merged[v] = merged.get(v, 0) + n
-        prior, right, wrong = 0.5, [0.8] * len(LABELERS), [0.3] * len(LABELERS)
-
-        def probability(v, prior=prior, right=right, wrong=wrong):
-            a, b = math.log(prior), math.log(1 - prior)
-            for x, p, q in zip(v, right, wrong):
+        for r in counts:
+            if r["kind"] == kind:
+                key = r.get("name", kind), tuple(r[x] for x in labelers)
+                merged[key] = merged.get(key, 0) + r["n"]
+        prior = dict.fromkeys({name for name, _ in merged}, 0.5)
+        start = [[START[x][side] for x in labelers] for side in (0, 1)]
+        right, wrong = [list(x) for x in start]
+
+        def probability(key, prior=prior, right=right, wrong=wrong):
+            if key[1][0] == 0:  # fails its check: known to be wrong
+                return 0.0
+            a, b = math.log(prior[key[0]]), math.log(1 - prior[key[0]])
+            for x, p, q in zip(key[1], right, wrong):
                 if x >= 0:
                     a += math.log(p if x else 1 - p)
                     b += math.log(q if x else 1 - q)
-            return 1 / (1 + math.exp(min(700, b - a)))
+            return 1 / (1 + math.exp(max(-700, min(700, b - a))))
 
         for _ in range(EM_ROUNDS if merged else 0):
-            p = {v: probability(v, prior, right, wrong) for v in merged}
-            total = sum(merged.values())
-            prior = min(0.99, max(0.01, (1 + sum(p[v] * n for v, n in merged.items())) / (2 + total)))
-            for j in range(len(LABELERS)):
-                for rates, weight, start in ((right, p, (4, 1)), (wrong, {v: 1 - x for v, x in p.items()}, (1, 2))):
-                    yes = start[0] + sum(weight[v] * n for v, n in merged.items() if v[j] == 1)
-                    no = start[1] + sum(weight[v] * n for v, n in merged.items() if v[j] == 0)
+            p = {key: probability(key) for key in merged}
+            for name in prior:
+                mine = [(p[key], n) for key, n in merged.items() if key[0] == name]
+                prior[name] = min(0.99, max(0.01, (1 + sum(x * n for x, n in mine)) / (2 + sum(n for _, n in mine))))
+            for j in range(len(labelers)):
+                for rates, first, weight in ((right, start[0], p), (wrong, start[1], {key: 1 - x for key, x in p.items()})):
+                    yes = START_ROWS * first[j] + sum(weight[key] * n for key, n in merged.items() if key[1][j] == 1)
+                    no = START_ROWS * (1 - first[j]) + sum(weight[key] * n for key, n in merged.items() if key[1][j] == 0)
                     rates[j] = yes / (yes + no)
         model[kind] = (prior, right, wrong)
-        for v in product((-1, 0, 1), repeat=len(LABELERS)):
-            post[kind, v] = probability(v, prior, right, wrong)
+        for name in prior:
+            for v in product((-1, 0, 1), repeat=len(labelers)):
+                post[name, v] = probability((name, v))
     return post, model
 
 
-def _features(r) -> list[str]:
-    return ["1", f"kind={r['kind']}", f"size={r['size']}", f"digits={r['digits']}",
-            *[f"{x}={r[x]}" for x in LABELERS], f"kind={r['kind']} check={r['check']}"]
-
-
-def train_classifier(counts: list[dict], post: dict) -> dict[str, float]:
-    """Logistic weights by gradient descent on the weighted table of feature
-    rows; targets are the labelers' joint probabilities."""
-    weights: dict[str, float] = {}
-    rows = [(_features(r), post[r["kind"], tuple(r[x] for x in LABELERS)], r["n"]) for r in counts]
-    total = sum(n for _, _, n in rows)
-    for step in range(CLASSIFIER_ROUNDS if total else 0):
-        slope: dict[str, float] = {}
-        for names, target, n in rows:
+def train_classifier(counts: list[dict], post: dict) -> dict[tuple, float]:
+    """Logistic weights by gradient descent over rows of equal features;
+    targets are the labelers' joint probabilities, and every pattern's rows
+    weigh 1 together."""
+    rows: dict[tuple, list[float]] = {}
+    totals: dict[str, int] = {}
+    for r in counts:
+        got = rows.setdefault(tuple(r[f] for f in FEATURES), [0.0, 0.0])
+        got[0] += r["n"]
+        got[1] += r["n"] * post[r["name"], tuple(r[x] for x in LABELERS)]
+        totals[r["name"]] = totals.get(r["name"], 0) + r["n"]
+    table = [([("1",), *zip(FEATURES, key), *[("name", f, key[0], v) for f, v in zip(FEATURES, key) if f in LABELERS]],
+              n / totals[key[0]] / len(totals), right / n) for key, (n, right) in sorted(rows.items())]
+    weights: dict[tuple, float] = {}
+    for _ in range(CLASSIFIER_ROUNDS if table else 0):
+        slope: dict[tuple, float] = {}
+        for names, share, target in table:
             z = sum(weights.get(x, 0.0) for x in names)
-            g = (1 / (1 + math.exp(-max(-30, min(30, z)))) - target) * n / total
+            g = (1 / (1 + math.exp(-max(-30, min(30, z)))) - target) * share
             for x in names:
                 slope[x] = slope.get(x, 0.0) + g
         for x, g in slope.items():
-            weights[x] = weights.get(x, 0.0) * 0.9999 - 2.0 * g
+            weights[x] = weights.get(x, 0.0) * 0.9999 - 4.0 * g
     return weights
 
 
-def probability_column(weights: dict[str, float]) -> Column:
-    z = F.lit(weights.get("1", 0.0))
-    values = {"kind": KINDS, "size": range(7), "digits": range(4), **dict.fromkeys(LABELERS, (-1, 0, 1))}
-    for c, vs in values.items():
-        for v in vs:
-            z = z + F.when(F.col(c) == v, F.lit(weights.get(f"{c}={v}", 0.0))).otherwise(0.0)
-    for k in KINDS:
-        for v in (0, 1):
-            z = z + F.when((F.col("kind") == k) & (F.col("check") == v),
-                           F.lit(weights.get(f"kind={k} check={v}", 0.0))).otherwise(0.0)
+def probability_column(weights: dict[tuple, float]) -> Column:
+    z = F.lit(weights.get(("1",), 0.0))
+    for key, w in weights.items():
+        if len(key) == 2:
+            z = z + F.when(F.col(key[0]) == key[1], F.lit(w)).otherwise(0.0)
+        elif len(key) == 4:
+            z = z + F.when((F.col(key[0]) == key[2]) & (F.col(key[1]) == key[3]), F.lit(w)).otherwise(0.0)
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+def accepted(scored: DataFrame) -> DataFrame:
+    """doc_id, tkey, kind, o, start, end, is_base: base spans, and the other
+    spans of the classifier that touch none of them and lie in no longer one.
+    Running bounds in the order of the spans, so that a text with many spans
+    stays linear."""
+    order = F.array_position(F.array(*[F.lit(k) for k in ALL_KINDS]), F.col("kind")).cast("int")
+    spans = scored.filter(F.col("is_base") | ((F.col("p") >= ACCEPT) & (F.col("check") != 0))).groupBy(
+        "doc_id", "tkey", "kind", "start", "end").agg(F.max("is_base").alias("is_base"))
+    spans = spans.select("*", order.alias("o"))
+    by_start = Window.partitionBy("doc_id", "tkey").orderBy("start", F.col("end").desc(), "o")
+    earlier = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("doc_id", "tkey").orderBy(F.col("start").desc(), F.col("end"), F.col("o").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)  # the same order, backwards
+    base_end, base_start = (F.when(F.col("is_base"), F.col(c)) for c in ("end", "start"))
+    touched = (F.coalesce(F.max(base_end).over(earlier) > F.col("start"), F.lit(False))
+               | F.coalesce(F.min(base_start).over(later) < F.col("end"), F.lit(False)))
+    free = spans.withColumn("touched", touched).filter(F.col("is_base") | ~F.col("touched"))
+    within = F.coalesce(F.max(F.when(~F.col("is_base"), F.col("end"))).over(earlier) >= F.col("end"), F.lit(False))
+    return free.withColumn("within", within).filter(F.col("is_base") | ~F.col("within")).drop("touched", "within")
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, counts by kind, base_sha256, spans and tkey of every row."""
+    """doc_id, counts by kind, base_sha256, spans, n_secret, n_spans and tkey
+    of every row."""
     marked = written(voted(candidates(docs)), "pii-spans")
-    groups = ["kind", *LABELERS, "size", "digits"]
-    counts = [r.asDict() for r in marked.groupBy(*groups).agg(F.count("*").alias("n")).collect()]  # few, by design
+    groups = ["name", "kind", *LABELERS, "size", "digits"]
+    counts = [r.asDict() for r in marked.groupBy(*groups).agg(F.count("*").alias("n")).collect()]  # at most MODEL_ROWS
     post, _model = reliabilities(counts)
     scored = marked.withColumn("p", probability_column(train_classifier(counts, post)))
-    kept = scored.filter((F.col("is_base")) | (F.col("p") >= ACCEPT))
-    order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int")
-    span = F.struct("start", order.alias("o"), "end", "kind")
-    per_doc = kept.groupBy("doc_id", "tkey").agg(
-        F.array_sort(F.collect_set(F.when(F.col("is_base"), span))).alias("base"),
-        F.array_sort(F.collect_set(F.when(~F.col("is_base"), span))).alias("more"))
-    free = F.filter("more", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    span = F.struct("start", "o", "end", "kind", "is_base")
+    per_doc = accepted(scored).groupBy("doc_id", "tkey").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
     def joined(a: Column) -> Column:
         return F.concat_ws(",", F.transform(a, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"),
                                                                      x["end"].cast("string"))))
 
-    def of_kind(k: str) -> Column:
-        return F.filter("base", lambda x: x["kind"] == k)
+    def number(which) -> Column:
+        return F.array_size(F.filter("spans", which)).cast("long")
+
+    def of(kind: str):
+        return lambda x: (x["kind"] == kind) & x["is_base"]
 
+    counted = {f"n_{k}": number(of(k)) for k in KINDS}
+    counted |= {"n_secret": number(lambda x: x["kind"] == "secret"), "n_spans": F.array_size("spans").cast("long")}
     named = per_doc.select(
-        F.col("doc_id").alias("d"), F.col("tkey").alias("t"),
-        *[F.array_size(of_kind(k)).cast("long").alias(f"c_{k}") for k in KINDS],
-        F.sha2(joined(F.col("base")), 256).alias("sha"),
-        joined(F.array_sort(F.concat("base", free))).alias("all"))
+        F.col("doc_id").alias("d"), F.col("tkey").alias("t"), *[c.alias(f"c_{n}") for n, c in counted.items()],
+        F.sha2(joined(F.filter("spans", lambda x: x["is_base"])), 256).alias("sha"), joined(F.col("spans")).alias("all"))
     rows = docs.select("doc_id", text_key())
     same = rows["doc_id"].eqNullSafe(named["d"]) & (rows["tkey"] == named["t"])
     none = F.sha2(F.lit(""), 256)
+    numbers = [F.coalesce(f"c_{n}", F.lit(0).cast("long")).alias(n) for n in counted]
     return rows.join(named, same, "left").select(
-        "doc_id", *[F.coalesce(f"c_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in KINDS],
-        F.coalesce("sha", none).alias("base_sha256"), F.coalesce("all", F.lit("")).alias("spans"), "tkey")
+        "doc_id", *numbers[:4], F.coalesce("sha", none).alias("base_sha256"), F.coalesce("all", F.lit("")).alias("spans"),
+        *numbers[4:], "tkey")
