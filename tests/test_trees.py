@@ -169,3 +169,20 @@ def test_scores_and_importances(table):
     assert np.allclose(out.p_home + out.p_draw + out.p_away, 1) and (out.extra == "k").all() and len(out) == len(label)
     imp = models[0].importances()
     assert np.isclose(imp.sum(), 1) and imp.min() > 0
+
+
+def test_boosting_writes_blocks_every_few_rounds(table, monkeypatch):
+    df, *_ = table
+    written, kept = [], T.work_table
+    monkeypatch.setattr(T, "work_table", lambda rows, name: written.append(name) or kept(rows, name))
+    monkeypatch.setattr(T, "WRITE_ROUNDS", 3, raising=False)
+    params = {"maxIter": 7, "maxDepth": 2}
+    models, state = T.train_boosting(df, FEATS, [0, 1], params)
+    assert len(written) == 4  # the first blocks, after rounds 3 and 6, and the last ones
+    x = df.select(*FEATS, "label", "weight", "fold")
+    plain = {tuple(r)[:2]: tuple(r)[2:] for r in T.score_rows(models[1], x.filter("fold = 1")).select(
+        "a", "c", "p_home", "p_draw", "p_away").collect()}
+    got = sorted(tuple(r)[1:] for r in T.scored_blocks(state, [0, 1]).filter("fold = 1").select(
+        "fold", "p_home", "p_draw", "p_away").collect())
+    T.released(state)
+    assert np.allclose(got, sorted(plain.values()))
