@@ -6,12 +6,21 @@ All of them are single-pass aggregates over the feature matrix, or a long
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchstats.functions import scalar as S
+from matchstats.session import ship_code
+
+#: Rows whose products a task adds up at a time.
+CORR_ROWS = 16384
 
 
 def feature_group(name: str) -> str:
@@ -29,17 +38,48 @@ def feature_group(name: str) -> str:
 def feature_corr(fm: DataFrame, feats: list[str]) -> DataFrame:
     """Pearson correlation of every feature pair, long format.
 
-    ``pyspark.ml.stat.Correlation`` computes the whole matrix in one
-    distributed pass (a tree-aggregated Gramian); the result is a
-    len(feats) x len(feats) matrix, a bounded object, turned into rows."""
-    from pyspark.ml.stat import Correlation
-    va = VectorAssembler(inputCols=feats, outputCol="__v", handleInvalid="keep")
-    vec = va.transform(fm.select(*[F.col(f).cast("double").alias(f) for f in feats])).select("__v")
-    mat = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    The features are computed and read once: each partition gives its rows,
+    means and centred products (a len(feats) x len(feats) array, a bounded
+    object), which are put together.  A null makes its feature's correlations
+    NaN, as does a feature that doesn't vary."""
+    ship_code(fm.sparkSession)
+    k = len(feats)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, CORR_ROWS):
+                columns = batch.slice(at, CORR_ROWS).columns
+                x = np.stack([c.fill_null(np.nan).to_numpy(zero_copy_only=False) for c in columns])
+                mean = x.mean(axis=1)
+                x = x - mean[:, None]
+                total = merged_moments(total, (x.shape[1], mean, x @ x.T))
+        if total is not None:
+            n, mean, products = total
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mean.tobytes()], pa.binary()),
+                                              pa.array([products.tobytes()], pa.binary())], ["n", "mean", "products"])
+
+    parts = fm.select(*[F.col(f).cast("double").alias(f) for f in feats]).mapInArrow(run, "n long, mean binary, products binary")
+    total = None
+    for r in parts.collect():  # one small row of each partition
+        total = merged_moments(total, (r["n"], np.frombuffer(r["mean"]), np.frombuffer(r["products"]).reshape(k, k)))
+    if total is None or total[0] < 2:
+        raise ValueError("a correlation needs two rows")
+    spread = np.sqrt(np.diag(total[2]))
+    spread = np.where(spread / math.sqrt(total[0] - 1) > 1e-12, spread, np.nan)
+    mat = total[2] / spread[:, None] / spread
     rows = [(f"{a}|{b}", float(mat[i][j])) for i, a in enumerate(feats) for j, b in enumerate(feats) if j > i]
     return fm.sparkSession.createDataFrame(rows, "pair string, corr double")
 
 
+def merged_moments(a: tuple | None, b: tuple) -> tuple:
+    """(rows, means, centred products) of two sets of rows together."""
+    if a is None:
+        return b
+    n, gap = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + gap * (b[0] / n), a[2] + b[2] + np.outer(gap, gap) * (a[0] * b[0] / n)
+
+
 def feature_label_corr(fm: DataFrame, feats: list[str], top: int = 15) -> DataFrame:
     """A23 + T10: |corr(feature, label 0/1/2)|, top ``top``."""
     y = S.encode_result("result").cast("double")

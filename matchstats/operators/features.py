@@ -31,7 +31,7 @@ from matchstats import config as C
 from matchstats.functions import scalar as S
 from matchstats.operators.master import complete_matches
 from matchstats.operators.teamlog import team_log
-from matchstats.session import cut_lineage
+from matchstats.session import work_table
 
 SIDE_FEATURES = ["win_pct", "draw_pct", "avg_goals_scored", "avg_goals_conceded", "goal_diff_avg",
                  "clean_sheet_pct", "shootout_win_pct", "team_experience"]
@@ -228,12 +228,13 @@ def build_features(master: DataFrame, shootouts: DataFrame | None = None, querie
     windows = windows or C.FORM_WINDOWS
     if materialize:
         # Every branch below (two-sided log, form states, pair states,
-        # queries) reads master: compute it once, narrow, and cut lineage
-        # with a reliable checkpoint in the shared checkpoint directory.
+        # queries) reads master: compute it once, narrow, into a columnar
+        # table in the shared checkpoint directory, of which each branch
+        # reads its own columns.
         cols = [c for c in dict.fromkeys(keys + MASTER_FEATURE_COLS) if c in master.columns]
-        master = cut_lineage(master.select(*cols))
+        master = work_table(master.select(*cols), "master")
         if shootouts is not None:
-            shootouts = cut_lineage(shootouts.select("date", "home_team", "away_team", "winner"))
+            shootouts = work_table(shootouts.select("date", "home_team", "away_team", "winner"), "shootouts")
     # Queries drawn from master itself already have their (team, day) and
     # (pair, day) rows among the history events; external fixtures add theirs.
     external = queries is not None

@@ -3,6 +3,7 @@
 import random
 from statistics import median
 
+import numpy as np
 import pytest
 
 from matchstats.operators import analytics as A
@@ -96,3 +97,22 @@ def test_predictions_keep_fixture_partitions(spark):
         wa = 0.5 if r.away_team == "T0" else 0.0
         t = wh + wa + 0.25
         assert r.p_home == pytest.approx(wh / t) and r.p_away == pytest.approx(wa / t)
+
+
+def test_correlations_from_one_reading(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4, 500)) * [[1], [1e3], [1e-3], [0]] + [[0], [1e6], [0], [5]]
+    x[1] += 700 * x[0]
+    read = spark.sparkContext.accumulator(0)
+
+    def row(r):
+        read.add(1)
+        return r
+
+    cells = [(*map(float, r), None if i == 7 else 1.0 * i) for i, r in enumerate(x.T)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(cells, 3).map(row), "a double, b double, c double, d double, e double")
+    got = {r["pair"]: r["corr"] for r in FS.feature_corr(df, list("abcde")).collect()}
+    assert read.value == 500
+    want = np.corrcoef(x[:3])
+    assert len(got) == 10 and np.allclose([got["a|b"], got["a|c"], got["b|c"]], [want[0, 1], want[0, 2], want[1, 2]])
+    assert all(np.isnan(got[p]) for p in got if "d" in p or "e" in p)
