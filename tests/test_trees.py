@@ -186,3 +186,55 @@ def test_boosting_writes_blocks_every_few_rounds(table, monkeypatch):
         "fold", "p_home", "p_draw", "p_away").collect())
     T.released(state)
     assert np.allclose(got, sorted(plain.values()))
+
+
+@pytest.mark.parametrize("subtree_rows,least,driver_bytes", [(1 << 16, 1, 1 << 30), (120, 1, 1 << 30), (120, 9, 0)])
+def test_forest(monkeypatch, table, subtree_rows, least, driver_bytes):
+    """With every row drawn once and all features at each node a tree is known: each node takes its best cut, sums equal a
+    recount, no two leaves of one parent predict the same class; whether tasks grow whole trees or small subtrees."""
+    monkeypatch.setattr(T, "SUBTREE_ROWS", subtree_rows)
+    monkeypatch.setattr(T, "DRIVER_BYTES", driver_bytes)
+    monkeypatch.setattr(T, "drawn_counts", lambda seed, tree, block, n: np.ones(n, np.uint8))
+    monkeypatch.setattr(T, "subset_size", lambda strategy, n: n)
+    df, x, label, weight, fold = table
+    model = T.train_forest(df, FEATS, {"numTrees": 2, "maxDepth": 5, "minInstancesPerNode": least})
+    cuts = T.quantile_cuts(df, FEATS)
+    n = np.bincount(label, minlength=3)
+    w = weight * (n.sum() / (3 * n))[label]
+    gini = lambda s: s.sum() * (1 - ((s / s.sum()) ** 2).sum())
+    sums = lambda q: np.bincount(label[q], w[q], minlength=3)
+    assert sum(len(f.root) for f in model.forests) == 2
+
+    def walk(forest, node, rows, depth):
+        total = sums(rows)
+        assert np.allclose(forest.value[node], total / total.sum())
+        if forest.feature[node] < 0:
+            return 1
+        best = max(gini(total) - gini(sums(rows[x[f, rows] <= c])) - gini(sums(rows[x[f, rows] > c])) for f in range(3) for c in cuts[f]
+                   if min((x[f, rows] <= c).sum(), (x[f, rows] > c).sum()) >= least)
+        cut = x[forest.feature[node], rows] <= forest.threshold[node]
+        assert depth < 5 and np.isclose(forest.gain[node], best) and min(cut.sum(), (~cut).sum()) >= least
+        assert np.isclose(forest.gain[node], gini(total) - gini(sums(rows[cut])) - gini(sums(rows[~cut])))
+        a, b = forest.left[node], forest.left[node] + 1
+        assert max(forest.feature[a], forest.feature[b]) >= 0 or forest.value[a].argmax() != forest.value[b].argmax()
+        return walk(forest, a, rows[cut], depth + 1) + walk(forest, b, rows[~cut], depth + 1)
+
+    for forest in model.forests:
+        assert all(walk(forest, r, np.arange(len(label)), 0) > 8 for r in forest.root)
+
+
+def test_forest_draws(table):
+    """Rows and features are drawn: trees differ, equal seeds give equal trees; classes are told apart; few rows go to a task."""
+    df, x, label, weight, fold = table
+    model, again = (T.train_forest(df, FEATS, {"numTrees": 8, "maxDepth": 4}) for _ in range(2))
+    p = model.probabilities(x)
+    assert np.array_equal(p, again.probabilities(x)) and np.allclose(p.sum(axis=0), 1)
+    balanced = np.mean([(p.argmax(axis=0) == k)[label == k].mean() for k in range(3)])
+    assert balanced > 0.6
+    forest = model.forests[0]
+    assert len({float(forest.threshold[r]) for r in forest.root}) > 1
+    got = model.transform(df).toPandas()
+    assert len(got) == len(label) and set(got.prediction) <= {0.0, 1.0, 2.0}
+    counts = T.drawn_counts(1, 2, 3, 100_000)
+    assert abs(counts.mean() - 1) < 0.02 and abs((counts == 0).mean() - np.exp(-1)) < 0.01
+    assert [T.subset_size(s, 45) for s in ("sqrt", "log2")] == [7, 6]
