@@ -8,6 +8,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from matchstats.operators.feature_stage import SHOOTOUT_COLS
+from matchstats.operators.features import MASTER_FEATURE_COLS
 from matchstats.operators.master import MASTER_COLUMNS, complete_matches
 from matchstats.plans.catalog import KEYS, _inp, query
 from matchstats.plans.catalog_features import DOUBLE_FEATS
@@ -104,13 +106,15 @@ def q_late_data_repair(spark, sf):
     the states equal a rebuild."""
     inp = _inp(spark, sf)
     path = scratch_dir(spark, "states")
-    master = work_table(inp.master, "master")
+    # every step reads both again: computed once, with the columns that states and features use
+    master = work_table(inp.master.select(*KEYS, *MASTER_FEATURE_COLS), "master")
+    shootouts = work_table(inp.shootouts.select(*SHOOTOUT_COLS), "shootouts")
     day = F.col("date")
     arrivals = [day < F.lit(LATE_FROM), day >= F.lit(LATE_TO), (day >= F.lit(LATE_FROM)) & (day < F.lit(LATE_TO))]
     here = arrivals[0]
     # the features read shootouts as given, all of them known from the start on
-    build_states(master.filter(here), inp.shootouts, path, KEYS)
+    build_states(master.filter(here), shootouts, path, KEYS)
     for more in arrivals[1:]:
         here = here | more
-        repair_states(master.filter(here), inp.shootouts, master.filter(more), path, KEYS)
+        repair_states(master.filter(here), shootouts, master.filter(more), path, KEYS)
     return stored_features(complete_matches(master), path, KEYS)

@@ -113,3 +113,19 @@ def test_the_stream_repairs_after_each_batch(spark, scratch):
     assert master.count() == len(GAMES) and len(ranges) >= 2 and all(r for _, r in ranges)
     got = ST.stored_features(complete_matches(master), states, KEYS)
     assert rows_of(got) == rows_of(build_features(master, spark.read.parquet(shoot), keys=KEYS))
+
+
+def test_late_data_repair_computes_its_inputs_once(spark, monkeypatch):
+    """Each step reads the slim matches and the shootouts from the shared folder, not from the raw tables again."""
+    from matchstats.operators.features import MASTER_FEATURE_COLS
+    from matchstats.plans import catalog_ingest as CI
+    seen = []
+    monkeypatch.setattr(CI, "build_states", lambda master, shootouts, *a: seen.append((master, shootouts)))
+    monkeypatch.setattr(CI, "repair_states", lambda master, shootouts, *a: seen.append((master, shootouts)))
+    monkeypatch.setattr(CI, "stored_features", lambda queries, *a: queries)
+    CI.q_late_data_repair(spark, SF0001)
+    assert len(seen) == 3
+    for master, shootouts in seen:
+        assert set(master.columns) == {*KEYS, *MASTER_FEATURE_COLS}
+        assert master.inputFiles() and all("/work-master-" in f for f in master.inputFiles())
+        assert shootouts.inputFiles() and all("/work-shootouts-" in f for f in shootouts.inputFiles())
