@@ -238,3 +238,93 @@ def test_forest_draws(table):
     counts = T.drawn_counts(1, 2, 3, 100_000)
     assert abs(counts.mean() - 1) < 0.02 and abs((counts == 0).mean() - np.exp(-1)) < 0.01
     assert [T.subset_size(s, 45) for s in ("sqrt", "log2")] == [7, 6]
+
+
+def test_pairs_of_features_give_the_plain_histograms():
+    """Joint bins of neighbours, added up: of an odd number of features, over lists of rows, into some of the slots."""
+    rng = np.random.default_rng(2)
+    for n_feats in (1, 4, 5):
+        out, plain, rows = np.zeros((6, n_feats, 7, 2)), np.zeros((6, n_feats, 7, 2)), []
+        for n in (50, 0, 333):
+            x, slot, stats = rng.integers(0, 7, (n_feats, n)).astype(np.uint8), rng.integers(1, 5, n), rng.normal(size=(2, n))
+            rows.append((slot, T.pair_codes(x, 7), *stats))
+            for f in range(n_feats):
+                np.add.at(plain, (slot, f, x[f]), stats.T)
+        T.add_pairs(out, rows)
+        assert np.allclose(out, plain) and not out[[0, 5]].any()
+
+
+def test_margins_only_of_rows_that_a_run_needs(table):
+    """A row keeps margins of the runs that train or are tested on it, no others."""
+    df, x, label, weight, fold = table
+    _, state = T.train_boosting(df, FEATS, [0, 1], {"maxIter": 2, "maxDepth": 2})
+    kept = sum(len(r["margin"]) for r in state.select("margin").collect())
+    T.released(state)
+    assert kept == 8 * 3 * ((fold <= 0).sum() + (fold <= 1).sum()) < 8 * 3 * 2 * len(label)
+
+
+def test_walks_of_uneven_trees():
+    """Rows that reach a leaf early are left out of the further steps; nodes equal a walk row by row."""
+    rng = np.random.default_rng(3)
+    for share in (0.15, 0.5, 1.0):
+        forest = T.Forest.roots(np.zeros((2, 1)))
+        nodes = forest.root
+        for _ in range(8):
+            pick = nodes[(rng.random(len(nodes)) < share) | (np.arange(len(nodes)) == 0)]
+            z = np.zeros((len(pick), 1))
+            nodes = forest.split(pick, rng.integers(0, 4, len(pick)), rng.random(len(pick)), np.ones(len(pick)), z, z)
+        x = rng.random((4, 200))
+        for tree, count in ((0, None), (1, 70), (1, 0)):
+            got = forest.landed(tree, x, count)
+            for i in range(200 if count is None else count):
+                node = forest.root[tree]
+                while forest.feature[node] >= 0:
+                    node = forest.left[node] + (x[forest.feature[node], i] > forest.threshold[node])
+                assert got[i] == node
+
+
+@pytest.mark.parametrize("numbers", [3, 4])
+def test_large_and_small_nodes_are_counted_alike(monkeypatch, numbers):
+    rng = np.random.default_rng(4)
+    x, label = rng.integers(0, 32, (6, 900)).astype(np.uint8), rng.integers(0, 3, 900).astype(np.uint8)
+    nodes, drawn = np.array([0, 2, 3]), np.stack([rng.permutation(6)[:2] for _ in range(4)])
+    rows = [np.arange(0, 500), np.arange(500, 520), np.arange(520, 900)]
+    weight, count = rng.random(900), rng.integers(1, 4, 900).astype(np.uint8)
+    plain = np.zeros((4, 2, 32, numbers))
+    for node, some in zip(nodes, rows):
+        for j in range(2):
+            np.add.at(plain, (node, j, x[drawn[node, j], some], label[some]), weight[some])
+            if numbers > 3:
+                np.add.at(plain, (node, j, x[drawn[node, j], some], 3), count[some])
+    for least in (1, 100, 10_000):
+        monkeypatch.setattr(T, "NODE_ROWS", least)
+        out = np.zeros(plain.shape)
+        T.add_nodes(out, T.class_codes(x, label, 32), x, label, nodes, rows, drawn, [weight[r] for r in rows], [count[r] for r in rows])
+        assert np.allclose(out, plain)
+
+
+def shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_forest_leaves_no_rows_on_the_disks(spark, table, monkeypatch):
+    """Each group of trees hands over its rows in a shuffle that goes with it; the setting is as before."""
+    import time
+    from matchstats.session import SHUFFLE_CLEANUP
+    df, *_ = table
+    monkeypatch.setattr(T, "GROUP_BYTES", 1)  # a group for each tree
+    seen, real = [], T._forest
+
+    def grown(*a):
+        before, until = shuffle_files(spark), time.time() + 20
+        out = real(*a)
+        while shuffle_files(spark) > before and time.time() < until:  # files are removed in the background
+            time.sleep(0.1)
+        seen.append(shuffle_files(spark) - before)
+        return out
+
+    monkeypatch.setattr(T, "_forest", grown)
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    T.train_forest(df, FEATS, {"numTrees": 3, "maxDepth": 3})
+    assert len(seen) == 3 and max(seen) <= 0 and spark.conf.get(SHUFFLE_CLEANUP, None) == was
